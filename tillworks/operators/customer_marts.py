@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import columns as C
 from tillworks.functions import rules
-from tillworks.operators.ranking import first_per_key
+from tillworks.operators.lookup import lookup_side
+from tillworks.operators.ranking import first_per_key, with_group_position
+from tillworks.session import durable
+
+# Rows of one customer that a single task may rank.
+MAX_RANKED_ROWS = 5_000_000
 
 
 def _known(fact: DataFrame) -> DataFrame:
@@ -42,7 +47,7 @@ def customer_lifetime_value(
     spreads a hot customer.
     """
     rows = _dated(fact, dates, "date").join(
-        products.select("product_id", "category"), "product_id"
+        lookup_side(products.select("product_id", "category")), "product_id"
     )
     sums = rows.groupBy("customer_id").agg(
         F.countDistinct("date_id").alias("total_purchase_days"),
@@ -154,16 +159,42 @@ def customer_monthly_activity(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def customer_product_affinity(
-    fact: DataFrame, products: DataFrame, dates: DataFrame, as_of: dt.date | str | None = None
-) -> DataFrame:
-    """One row per (customer, product) with ranks inside the customer.
+def _ranked_products(sums: DataFrame, max_group_rows: int, catalogue: int) -> DataFrame:
+    """(customer, product) sums with the customer's spend and both ranks.
 
-    All windows share one shuffle on the customer. They run after the
-    aggregation, so a group holds at most one row per product of the catalogue,
-    however many sales the customer has.
-    Ties in both ranks go to the smaller product id.
+    Ties go to the smaller product id. A customer has at most one row per
+    product, so the size of the catalogue decides: within the limit, windows do
+    all of it after one shuffle on the customer; beyond it a customer's rows are
+    ranked by several tasks.
     """
+    by_revenue = [F.desc("total_product_revenue"), F.asc("product_id")]
+    by_frequency = [F.desc("times_purchased"), F.asc("product_id")]
+    if catalogue <= max_group_rows:
+        customer = Window.partitionBy("customer_id")
+        return (
+            sums.withColumn("_spend", F.sum("total_product_revenue").over(customer))
+            .withColumn(
+                "product_rank_by_revenue", F.row_number().over(customer.orderBy(*by_revenue))
+            )
+            .withColumn(
+                "product_rank_by_frequency", F.row_number().over(customer.orderBy(*by_frequency))
+            )
+        )
+    sums = durable(sums)
+    spend = sums.groupBy("customer_id").agg(C.money_sum("total_product_revenue").alias("_spend"))
+    ranked = with_group_position(sums, ["customer_id"], by_revenue, "product_rank_by_revenue")
+    ranked = with_group_position(ranked, ["customer_id"], by_frequency, "product_rank_by_frequency")
+    return ranked.join(spend, "customer_id")
+
+
+def customer_product_affinity(
+    fact: DataFrame,
+    products: DataFrame,
+    dates: DataFrame,
+    as_of: dt.date | str | None = None,
+    max_group_rows: int = MAX_RANKED_ROWS,
+) -> DataFrame:
+    """One row per (customer, product) with ranks inside the customer."""
     sums = (
         _dated(fact, dates, "date")
         .groupBy("customer_id", "product_id")
@@ -177,23 +208,17 @@ def customer_product_affinity(
             F.min("date").alias("first_purchased_date"),
             F.max("date").alias("last_purchased_date"),
         )
-        # before the windows: only products of the dimension take part in totals and ranks
-        .join(products, "product_id")
     )
-    customer = Window.partitionBy("customer_id")
-    by_revenue = customer.orderBy(F.desc("total_product_revenue"), F.asc("product_id"))
-    by_frequency = customer.orderBy(F.desc("times_purchased"), F.asc("product_id"))
+    # before the ranks: only products of the dimension take part in them
+    sums = sums.join(lookup_side(products), "product_id")
     span = F.datediff("last_purchased_date", "first_purchased_date")
     idle_days = F.datediff(C.as_of_date(as_of), "last_purchased_date")
     times = F.col("times_purchased")
+    share = C.divide(F.col("total_product_revenue") * 100, "_spend")
     return (
-        sums.withColumn("_spend", F.sum("total_product_revenue").over(customer))
-        .withColumn("product_rank_by_revenue", F.row_number().over(by_revenue).cast("bigint"))
-        .withColumn("product_rank_by_frequency", F.row_number().over(by_frequency).cast("bigint"))
+        _ranked_products(sums, max_group_rows, products.count())
         .withColumn("days_buying_this_product", span)
-        .withColumn(
-            "pct_of_customer_spend", C.divide(F.col("total_product_revenue") * 100, "_spend")
-        )
+        .withColumn("pct_of_customer_spend", share)
         .select(
             "customer_id",
             "product_id",
@@ -207,8 +232,8 @@ def customer_product_affinity(
             "avg_purchase_value",
             "max_purchase_value",
             "pct_of_customer_spend",
-            "product_rank_by_revenue",
-            "product_rank_by_frequency",
+            F.col("product_rank_by_revenue").cast("bigint").alias("product_rank_by_revenue"),
+            F.col("product_rank_by_frequency").cast("bigint").alias("product_rank_by_frequency"),
             F.when(
                 F.col("days_buying_this_product") > 0,
                 C.divide(times, F.col("days_buying_this_product") + 1),

@@ -1,0 +1,20 @@
+"""Dimension lookups."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of (key, id, short label) that every executor can hold: some 100 MB.
+MAX_LOOKUP_ROWS = 2_000_000
+
+
+def lookup_side(dimension: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+    """The dimension, marked for broadcast if its counted rows fit the limit.
+
+    Keeps a large fact from being shuffled (and skewed) on its dimension key for
+    a dimension somewhat beyond the planner's 10 MB estimate. The count of a
+    stored table reads file footers only. A larger dimension is left unmarked:
+    the join then shuffles both sides and AQE splits hot keys.
+    """
+    return F.broadcast(dimension) if dimension.count() <= max_rows else dimension

@@ -40,6 +40,21 @@ def with_position(
     )
 
 
+def with_group_position(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str
+) -> DataFrame:
+    """``row_number`` inside groups of any size, exact.
+
+    The whole table is numbered by (group, order), so a group spreads over as
+    many tasks as its rows need; the group's first number is then taken off.
+    """
+    placed = with_position(df, [*group, *order], "_place")
+    first = placed.groupBy(*group).agg(F.min("_place").alias("_first"))
+    return placed.join(first, list(group)).select(
+        *df.columns, (F.col("_place") - F.col("_first") + 1).alias(name)
+    )
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:

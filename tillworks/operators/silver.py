@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions import columns as C
+from tillworks.operators.lookup import lookup_side
 from tillworks.operators.ranking import with_position
 
 
@@ -115,7 +116,7 @@ def fact_sales_daily(
     )
     return (
         daily.join(dates.select("date", "date_id", "year", "month"), "date")
-        .join(products.select("stock_code", "product_id"), "stock_code")
+        .join(lookup_side(products.select("stock_code", "product_id")), "stock_code")
         .select(
             "date_id", "product_id", "country", "customer_id", "total_transactions",
             "total_quantity", "total_revenue", "avg_unit_price", "year", "month",

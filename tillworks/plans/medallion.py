@@ -17,12 +17,28 @@ from tillworks.sources.layers import LayerStore, write_bronze
 Tables = dict[str, DataFrame]
 
 
-def silver_tables(store: LayerStore, bronze: DataFrame) -> Tables:
-    """Build and write the silver layer; returns it as read back."""
+def build_dimensions(store: LayerStore, bronze: DataFrame) -> None:
     store.replace(silver.dim_date(bronze), "silver.dim_date")
     store.replace(silver.dim_product(bronze), "silver.dim_product")
+
+
+def build_fact(store: LayerStore, bronze: DataFrame) -> None:
+    """The fact over the stored dimensions."""
     dates, products = store.read("silver.dim_date"), store.read("silver.dim_product")
     store.replace(silver.fact_sales_daily(bronze, dates, products), "silver.fact_sales_daily")
+
+
+def upsert_fact(store: LayerStore, updates: DataFrame) -> None:
+    """Replace or add fact rows by key, rewriting only the months they fall in."""
+    store.upsert_partitions(
+        updates, "silver.fact_sales_daily", silver.FACT_KEYS, ["year", "month"]
+    )
+
+
+def silver_tables(store: LayerStore, bronze: DataFrame) -> Tables:
+    """Build and write the silver layer; returns it as read back."""
+    build_dimensions(store, bronze)
+    build_fact(store, bronze)
     return read_silver(store)
 
 

@@ -154,8 +154,9 @@ def customer_ids(spark, sf_dir):
 
 @query
 def fact_sales_daily(spark, sf_dir):
-    lines = bronze_lines(spark, sf_dir)
-    return silver.fact_sales_daily(lines, silver.dim_date(lines), silver.dim_product(lines))
+    """Out of the lines, over the stored dimensions."""
+    dates, products = workspace.dimensions(spark, sf_dir)
+    return silver.fact_sales_daily(bronze_lines(spark, sf_dir), dates, products)
 
 
 @query

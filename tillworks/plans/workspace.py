@@ -13,7 +13,7 @@ from tillworks.session import shared_folder
 from tillworks.sources import testdata
 from tillworks.sources.layers import LayerStore
 
-_built: set[tuple[str, str]] = set()
+_built: set[tuple[str, str, str]] = set()
 _lock = threading.Lock()
 
 
@@ -28,16 +28,27 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tillworks/{purpose}-{uuid.uuid4()}"
 
 
+def _once(spark: SparkSession, sf_dir: str, part: str, build) -> LayerStore:
+    store = store_for(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), part)
+    with _lock:
+        if key not in _built:
+            build(store, testdata.bronze_lines(spark, sf_dir))
+            _built.add(key)
+    return store
+
+
+def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored dim_date and dim_product of the folder."""
+    store = _once(spark, sf_dir, "dimensions", medallion.build_dimensions)
+    return store.read("silver.dim_date"), store.read("silver.dim_product")
+
+
 def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """dim_date, dim_product and fact_sales_daily of the folder.
 
     Gold reads stored silver, as it does in a batch run; invoice lines are joined
     and aggregated once per application instead of once per mart.
     """
-    store = store_for(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    with _lock:
-        if key not in _built:
-            medallion.silver_tables(store, testdata.bronze_lines(spark, sf_dir))
-            _built.add(key)
-    return medallion.read_silver(store)
+    dimensions(spark, sf_dir)
+    return medallion.read_silver(_once(spark, sf_dir, "fact", medallion.build_fact))

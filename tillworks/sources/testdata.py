@@ -14,8 +14,9 @@ def _order_lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
     """Order lines with order, buyer country and part.
 
     Orders meet their buyers before the lines, so the customer join shuffles
-    orders rather than lines. No hints: sizes decide, and AQE splits the
-    partitions of hot parts or buyers.
+    orders rather than lines. Lines and orders grow together and never fit a
+    broadcast at scale, so their join is always a sort-merge join, which spills;
+    all others are left to the sizes. AQE splits the partitions of hot keys.
     """
     nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     buyers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -26,9 +27,9 @@ def _order_lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None = Non
         "p_partkey", "p_type", "p_brand", "p_name", "p_size"
     )
     lines = table(spark, sf_dir, "lineitem") if lines is None else lines
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
-    )
+    return lines.join(
+        orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).join(parts, F.col("l_partkey") == F.col("p_partkey"))
 
 
 def _returned():

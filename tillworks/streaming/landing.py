@@ -16,6 +16,7 @@ from tillworks.sources import transactions as X
 from tillworks.sources.layers import LayerStore, in_partitions, write_bronze
 
 BRONZE = "bronze.raw_transactions"
+FILES_PER_MONTH = 32
 
 
 def landing_lines(
@@ -44,6 +45,10 @@ def stream_bronze(
     files taken: a second run adds no rows.
     """
     rows = X.bronze_rows(clean(lines), batch="stream").drop("ingest_batch")
+    # a month's lines meet in FILES_PER_MONTH tasks: neither a file per task and
+    # month, nor one task for a month that holds most of the batch
+    spread = F.pmod(F.xxhash64("invoiceno", "stockcode"), F.lit(FILES_PER_MONTH))
+    rows = rows.repartition("invoice_month", spread)
     _drain(
         rows.writeStream.format("parquet")
         .partitionBy("invoice_month")
