@@ -1,6 +1,9 @@
 """Run registered queries in Spark and their SQL in DuckDB and compare.
 
     python tests/oracle_check.py [sf_dir] [query ...]
+
+CHECK_CONF="key=value,key=value" adds Spark settings, for instance
+spark.sql.autoBroadcastJoinThreshold=-1 to check the plans of large tables.
 """
 
 from __future__ import annotations
@@ -65,7 +68,8 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
     import __spark_entry__ as E
     from tillworks.session import local_session
 
-    spark = local_session("8")
+    conf = dict(c.split("=", 1) for c in os.environ.get("CHECK_CONF", "").split(",") if c)
+    spark = local_session("8", **conf)
     con = connect(sf_dir)
     queries, sql = E.queries(), E.oracle_sql()
     bad = 0

@@ -35,7 +35,8 @@ def with_position(
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    return rows.join(offsets, "_part").select(
+    # one row per partition of the sort: broadcast is bounded by the partition count
+    return rows.join(F.broadcast(offsets), "_part").select(
         *df.columns, (base + F.col("_offset") + F.col("_row")).cast("bigint").alias(name)
     )
 
