@@ -119,3 +119,18 @@ def test_csv_with_other_header_is_refused(spark, tmp_path):
     (tmp_path / "x.csv").write_text(CSV.replace("StockCode", "Sku"))
     with pytest.raises(Exception, match="(?i)header"):
         X.read_transactions(spark, str(tmp_path / "x.csv")).collect()
+
+
+def test_float_columns_of_a_frame(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [("1", "A1", None, 2.0, dt.datetime(2010, 12, 1), 2.5, 17850.0, "UK"),
+         ("2", "A1", None, nan, dt.datetime(2010, 12, 1), nan, nan, "UK")],
+        "InvoiceNo string, StockCode string, Description string, Quantity double, InvoiceDate timestamp_ntz, "
+        "UnitPrice double, CustomerID double, Country string",
+    )
+    got = rows(X.clean_strict(df), "quantity", "unitprice", "customerid")
+    assert got == [(2, D("2.50"), "17850.0"), (0, D("0.00"), None)]
+    assert rows(X.clean_lenient(df.limit(1)), "quantity", "customerid") == [(2, "17850.0")]
+    with pytest.raises(Exception, match="quantity is missing"):
+        X.clean_lenient(df).collect()

@@ -1,8 +1,10 @@
+import datetime as dt
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+import frames as T
 from frames import rows
 from tillworks import schemas
 from tillworks.operators import merge
@@ -93,6 +95,11 @@ def test_catalog(spark, store):
     store.ensure_layers()  # again: nothing changes
     assert spark.table("silver.dim_date").columns == schemas.DIM_DATE.names
     assert spark.table("bronze.raw_transactions").count() == 0
+    fact = T.fact(spark, [(dt.date(2010, 12, 1), 1, "UK", 1, 1, 1, "5.00"), (dt.date(2011, 1, 1), 1, "UK", 1, 1, 1, "5.00")])
+    store.replace(fact, "silver.fact_sales_daily")
+    store.register("silver.fact_sales_daily")
+    assert spark.table("silver.fact_sales_daily").columns[-2:] == ["year", "month"]
+    assert spark.sql("SELECT month FROM silver.fact_sales_daily WHERE year = 2010").collect() == [(12,)]
     for name in schemas.TABLES:
         spark.sql(f"DROP TABLE {name}")
 

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 import frames as T
 from frames import D, LINES, bronze, day, rows
 from tillworks import schemas
@@ -41,6 +43,16 @@ def test_checks_on_an_empty_table(spark):
     assert outcome(Q.relationships(empty, "t", "id", empty)) == {"t.relationships:id": (0, True)}
 
 
+def test_unique_key_shares_the_scan(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "x"), (None, None)], "k int, s string")
+    got = outcome(Q.table_checks(df, "t", [Q.not_null("s"), Q.not_null("k")], unique_key="k"))
+    assert got == {"t.not_null:s": (2, False), "t.not_null:k": (2, False), "t.unique:k": (1, False)}
+    none = outcome(Q.table_checks(df.where("false"), "t", [Q.not_null("s")], unique_key="k"))
+    assert none == {"t.not_null:s": (0, True), "t.unique:k": (0, True)}
+    with pytest.raises(ValueError):
+        Q.table_checks(df, "t", [Q.has_rows()], unique_key="k")
+
+
 def test_unique_and_relationships(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (2, "c"), (None, "x"), (None, "x")], "k int, s string")
     assert outcome(Q.unique(df, "t", ["k"])) == {"t.unique:k": (2, False)}

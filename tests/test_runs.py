@@ -182,7 +182,7 @@ def test_refresh_marts_resumes(spark, layers):
         ("France", 1), ("UK", 1)
     ]
     logs = store.read("ops.pipeline_logs")
-    assert rows(oplog.logs_by_level(logs)) == [("reliable_gold_pipeline", run, "INFO", 4)]
+    assert rows(oplog.logs_by_level(logs)) == [("gold_refresh", run, "INFO", 4)]
     version = store.location("gold.fact_country_sales")
     monthly.refresh_marts(store, run_id=run)  # both stages are done
     assert store.location("gold.fact_country_sales") == version

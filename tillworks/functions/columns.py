@@ -98,14 +98,14 @@ def parse_customer_id(text: Column | str, numeric: bool = False) -> Column:
     if numeric:
         value = F.round(c.try_cast("decimal(20,4)"), 0).try_cast("int")
     else:
-        value = F.nullif(F.split_part(c, F.lit("."), F.lit(1)), F.lit("")).try_cast("int")
+        value = F.nullif(F.substring_index(c, ".", 1), F.lit("")).try_cast("int")
     return F.coalesce(value, F.lit(rules.UNKNOWN_CUSTOMER))
 
 
 def is_junk_customer(text: Column | str) -> Column:
     """Customer text that is there but is no number."""
     c = _col(text)
-    head = F.nullif(F.split_part(c, F.lit("."), F.lit(1)), F.lit(""))
+    head = F.nullif(F.substring_index(c, ".", 1), F.lit(""))
     return head.isNotNull() & head.try_cast("int").isNull()
 
 

@@ -11,7 +11,10 @@ from tillworks.operators.ranking import first_per_key
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows with whole rows of ``updates`` replacing or joining them by key."""
+    """Target rows with whole rows of ``updates`` replacing or joining them by key.
+
+    ``updates`` must hold a key once; see ``find_duplicate_keys``, ``keep_latest``.
+    """
     kept = target.join(updates.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(updates.select(*target.columns))
 

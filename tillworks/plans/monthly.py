@@ -94,7 +94,7 @@ def recover_logs(store: LayerStore, path: str) -> tuple[int, DataFrame]:
 
 
 def refresh_marts(
-    store: LayerStore, pipeline_name: str = "reliable_gold_pipeline", run_id: str | None = None
+    store: LayerStore, pipeline_name: str = "gold_refresh", run_id: str | None = None
 ) -> str:
     """Product and country marts with stage checkpoints and logs; returns the run id.
 

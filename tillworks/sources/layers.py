@@ -155,14 +155,22 @@ class LayerStore:
                 self.replace(self.empty(name), name)
             self.register(name)
 
-    def register(self, name: str) -> None:
+    def register(self, name: str, partition_by: Sequence[str] | None = None) -> None:
         """Point the catalog table at the current version."""
         layer = name.split(".")[0]
+        parts = schemas.PARTITIONED_BY.get(name, []) if partition_by is None else list(partition_by)
+        fields = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in self.read(name).schema.fields
+        )
+        folders = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: rows stay
-        self.spark.catalog.createTable(
-            name, path=self.location(name), source="parquet", schema=self.read(name).schema
+        self.spark.sql(
+            f"CREATE TABLE {name} ({fields}) USING parquet {folders} "
+            f"LOCATION '{self.location(name)}'"
         )
+        if parts:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def in_partitions(rows, columns: Sequence[str]):

@@ -51,9 +51,15 @@ def _parsed_date(df: DataFrame, formats: Sequence[str]) -> Column:
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
-def _as_whole(c: Column) -> Column:
-    """Number to int, dropping the fraction; text that is no number raises."""
-    return c.cast("double").cast("int")
+def _number(name: str) -> Column:
+    """Column as a double; NaN counts as missing, text that is no number raises."""
+    return F.nullif(F.col(name).cast("double"), F.lit(float("nan")))
+
+
+def _customer_text() -> Column:
+    """Customer as text; a missing one of a float column reads 'nan'."""
+    c = F.col("customerid").cast("string")
+    return F.when(F.lower(c) != "nan", c)
 
 
 def _bronze_line(df: DataFrame) -> DataFrame:
@@ -76,11 +82,11 @@ def clean_strict(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFr
     return _bronze_line(
         raw.withColumn("invoicedate", _parsed_date(raw, formats))
         .dropna(subset=_KEYS)
-        .withColumn("unitprice", F.coalesce(F.col("unitprice").cast("double"), F.lit(0.0)))
+        .withColumn("unitprice", F.coalesce(_number("unitprice"), F.lit(0.0)))
         .where(F.col("unitprice").between(rules.MIN_PRICE, rules.MAX_PRICE))
         .withColumn("description", F.coalesce("description", F.lit(rules.STRICT_DESCRIPTION)))
-        .withColumn("quantity", F.coalesce(_as_whole(F.col("quantity")), F.lit(0)))
-        .withColumn("customerid", F.col("customerid").cast("string"))
+        .withColumn("quantity", F.coalesce(_number("quantity").cast("int"), F.lit(0)))
+        .withColumn("customerid", _customer_text())
     )
 
 
@@ -93,23 +99,17 @@ def clean_lenient(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataF
     raw = normalize_columns(df)
     when = _parsed_date(raw, formats)
     bad_date = F.raise_error(F.concat(F.lit("unreadable date: "), F.col("invoicedate")))
-    no_quantity = F.raise_error(F.lit("quantity is missing"))
-    price = F.col("unitprice").cast("double")
+    no_quantity = F.raise_error(F.lit("quantity is missing")).cast("int")
     return _bronze_line(
         raw.withColumn(
             "invoicedate",
             F.when(when.isNull() & F.col("invoicedate").isNotNull(), bad_date).otherwise(when),
         )
-        .withColumn("unitprice", price)
+        .withColumn("unitprice", _number("unitprice"))
         .where((F.col("unitprice") >= rules.MIN_PRICE) | F.col("unitprice").isNull())
         .withColumn("description", F.coalesce("description", F.lit(rules.LENIENT_DESCRIPTION)))
-        .withColumn("customerid", F.coalesce(F.col("customerid").cast("string"), F.lit("")))
-        .withColumn(
-            "quantity",
-            F.when(F.col("quantity").isNull(), no_quantity).otherwise(
-                _as_whole(F.col("quantity"))
-            ),
-        )
+        .withColumn("customerid", F.coalesce(_customer_text(), F.lit("")))
+        .withColumn("quantity", F.coalesce(_number("quantity").cast("int"), no_quantity))
     )
 
 
