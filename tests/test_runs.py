@@ -62,7 +62,7 @@ def test_upsert_fact(spark, layers):
 def test_month_by_month_equals_all_at_once(spark, layers):
     store, _ = layers
     fact, dates = store.read("silver.fact_sales_daily"), store.read("silver.dim_date")
-    months = [tuple(r) for r in L.distinct_months(fact, dates).collect()]
+    months = [tuple(r) for r in L.distinct_months(fact).collect()]
     assert sorted(months) == [(2010, 12), (2011, 1)]
     single = [L.recompute_months(fact, dates, [m]).head() for m in sorted(months)]
     assert single == SM.sales_monthly(fact, dates, count_unknown=True).orderBy("year", "month").collect()

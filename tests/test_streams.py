@@ -111,3 +111,16 @@ def test_late_lines_are_left_to_the_batch(spark, tmp_path):
     assert {str(r[0]) for r in rows(got, "date")} == {"2010-12-01"}
     assert got.where(F.col("total_quantity") != 9).count() == 0
     shutil.rmtree(inbox)
+
+
+def test_days_do_not_depend_on_the_time_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        land(tmp_path / "in", "a.csv", FIRST.replace("01/12/2010 9:00", "01/12/2010 23:59"))
+        land(tmp_path / "in", "b.csv", SECOND)
+        lines = X.clean_strict(landing.landing_lines(spark, str(tmp_path / "in")))
+        daily.run_daily_sales(lines, str(tmp_path / "out"), str(tmp_path / "mark"))
+        got = rows(spark.read.parquet(str(tmp_path / "out")).orderBy("date"), "date", "total_quantity")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(str(d), q) for d, q in got] == [("2010-12-01", 9), ("2010-12-30", 3)]

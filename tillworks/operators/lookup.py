@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of (key, id, short label) that every executor can hold: some 100 MB.
-MAX_LOOKUP_ROWS = 2_000_000
+# Dimension rows that every executor can hold: some 100 MB.
+MAX_LOOKUP_ROWS = 1_000_000
 
 
 def lookup_side(dimension: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:

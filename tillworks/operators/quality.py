@@ -148,7 +148,7 @@ def relationships(
     hot key cannot skew it.
     """
     keys = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_key or key).alias(key)).distinct()
+    known = parent.select(F.col(parent_key or key).alias(key))
     orphans = keys.join(known, key, "left_anti")
     return _result(
         f"{table}.relationships:{key}",

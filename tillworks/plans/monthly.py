@@ -29,10 +29,8 @@ def mark(store: LayerStore, months: DataFrame, status: str) -> None:
 
 
 def pending(store: LayerStore, year: int | None = None, month: int | None = None) -> DataFrame:
-    fact, dates = store.read("silver.fact_sales_daily"), store.read("silver.dim_date")
-    return L.pending_months(
-        L.distinct_months(fact, dates), store.read_or_empty(MONTHS), year, month
-    )
+    months = L.distinct_months(store.read("silver.fact_sales_daily"))
+    return L.pending_months(months, store.read_or_empty(MONTHS), year, month)
 
 
 def _months_frame(store: LayerStore, months: Sequence[tuple[int, int]]) -> DataFrame:

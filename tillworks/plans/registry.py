@@ -388,19 +388,19 @@ def _ledger(spark, sf_dir):
 
 @query
 def distinct_months(spark, sf_dir):
-    return L.distinct_months(*_fact_dates(spark, sf_dir))
+    return L.distinct_months(_fact_dates(spark, sf_dir)[0])
 
 
 @query
 def pending_months(spark, sf_dir):
-    months = L.distinct_months(*_fact_dates(spark, sf_dir))
+    months = L.distinct_months(_fact_dates(spark, sf_dir)[0])
     return L.pending_months(months, _ledger(spark, sf_dir))
 
 
 @query
 def mark_months(spark, sf_dir):
     """The ledger after every pending month was completed."""
-    months = L.distinct_months(*_fact_dates(spark, sf_dir))
+    months = L.distinct_months(_fact_dates(spark, sf_dir)[0])
     ledger = _ledger(spark, sf_dir).select(
         "*", *[
             F.lit(None).cast(f.dataType).alias(f.name)
@@ -417,7 +417,7 @@ def mark_months(spark, sf_dir):
 def recompute_month(spark, sf_dir):
     """Every month rebuilt from the fact, counting the unknown customer."""
     fact, dates = _fact_dates(spark, sf_dir)
-    months = [tuple(r) for r in L.distinct_months(fact, dates).collect()]  # calendar-bounded
+    months = [tuple(r) for r in L.distinct_months(fact).collect()]  # calendar-bounded
     return L.recompute_months(fact, dates, months)
 
 

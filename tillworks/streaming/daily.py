@@ -17,7 +17,9 @@ def stream_daily_sales(bronze: DataFrame, late: str = "1 day") -> DataFrame:
     The first also spreads a hot group's state over its invoices. Lines later
     than the watermark are left to the batch recomputation of their month.
     """
-    lines = sale_lines(bronze).withColumn("event_time", F.col("invoicedate").cast("timestamp"))
+    # watermarks need an instant and windows follow UTC days: read the wall clock as UTC
+    wall_clock = F.from_utc_timestamp(F.col("invoicedate").cast("timestamp"), F.current_timezone())
+    lines = sale_lines(bronze).withColumn("event_time", wall_clock)
     day = F.window("event_time", "1 day")
     cents = (F.col("unitprice") * 100).cast("bigint") * F.col("quantity")
     per_invoice = (
@@ -38,7 +40,9 @@ def stream_daily_sales(bronze: DataFrame, late: str = "1 day") -> DataFrame:
         F.sum("cents").alias("cents"),
     )
     return per_group.select(
-        F.to_date("window.start").alias("date"),
+        F.date_from_unix_date(
+            F.floor(F.unix_seconds("window.start") / 86400).cast("int")
+        ).alias("date"),
         "stock_code",
         "country",
         "customer_id",

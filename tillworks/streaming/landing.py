@@ -96,10 +96,14 @@ def refresh_batch(store: LayerStore, rows: DataFrame, batch: str) -> None:
     months = [(int(r[0][:4]), int(r[0][5:])) for r in touched]
     lines = bronze.where(in_partitions(touched, ["invoice_month"]))
 
-    store.upsert(silver.dim_date(lines), "silver.dim_date", ["date_id"])
+    # append what is new: a replayed batch finds nothing new
+    known = store.read_or_empty("silver.dim_date")
+    fresh = silver.dim_date(lines).join(known, "date_id", "left_anti")
+    store.append(fresh.select(*known.columns).coalesce(1), "silver.dim_date")
     products = store.read_or_empty("silver.dim_product")
     fresh = silver.extend_dim_product(products, lines)
-    store.replace(products.unionByName(fresh), "silver.dim_product")
+    if not store.exists("silver.dim_product") or not fresh.isEmpty():
+        store.append(fresh, "silver.dim_product")
     dates, products = store.read("silver.dim_date"), store.read("silver.dim_product")
     store.overwrite_partitions(
         silver.fact_sales_daily(lines, dates, products), "silver.fact_sales_daily"
