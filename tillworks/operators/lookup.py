@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 MAX_LOOKUP_ROWS = 1_000_000
 
 
-def lookup_side(dimension: DataFrame, max_rows: int = MAX_LOOKUP_ROWS) -> DataFrame:
+def lookup_side(
+    dimension: DataFrame, max_rows: int = MAX_LOOKUP_ROWS, rows: int | None = None
+) -> DataFrame:
     """The dimension, marked for broadcast if its counted rows fit the limit.
 
     Keeps a large fact from being shuffled (and skewed) on its dimension key for
     a dimension somewhat beyond the planner's 10 MB estimate. The count of a
-    stored table reads file footers only. A larger dimension is left unmarked:
-    the join then shuffles both sides and AQE splits hot keys.
+    stored table reads file footers only; ``rows`` passes one already taken. A
+    larger dimension is left unmarked: the join then shuffles both sides and AQE
+    splits hot keys.
     """
-    return F.broadcast(dimension) if dimension.count() <= max_rows else dimension
+    rows = dimension.count() if rows is None else rows
+    return F.broadcast(dimension) if rows <= max_rows else dimension
