@@ -134,3 +134,9 @@ def test_float_columns_of_a_frame(spark):
     assert rows(X.clean_lenient(df.limit(1)), "quantity", "customerid") == [(2, "17850.0")]
     with pytest.raises(Exception, match="quantity is missing"):
         X.clean_lenient(df).collect()
+
+
+def test_cleaning_report(spark):
+    df = raw(spark, {}, {0: None}, {4: None}, {4: "someday"}, {5: "-1"}, {5: "10001"}, {5: None})
+    assert rows(X.cleaning_report(df)) == [(7, 2, 1, 2, 2)]
+    assert X.clean_strict(df).count() == 2

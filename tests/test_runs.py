@@ -4,7 +4,6 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-import frames as T
 from frames import D, rows
 from tillworks import schemas
 from tillworks.operators import ledger as L

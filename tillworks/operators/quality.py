@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillworks import schemas
 from tillworks.functions import columns as C
 from tillworks.functions import rules
 
@@ -229,7 +230,8 @@ def suite(tables: dict[str, DataFrame]) -> DataFrame:
             [not_null(c) for c in ["invoiceno", "stockcode", "invoicedate"]]
             + [has_rows(), in_range("unitprice", rules.MIN_PRICE, rules.MAX_PRICE)]
             + [distinct_present(c) for c in ["invoiceno", "stockcode", "country"]]
-            + [date_bounds("invoicedate"), customer_parses("customerid")],
+            + [date_bounds("invoicedate"), customer_parses("customerid")]
+            + [max_length(c, n) for c, n in schemas.BRONZE_TEXT_LIMITS.items()],
         ),
         table_checks(
             t["dim_date"], "dim_date",

@@ -260,6 +260,35 @@ def gold_daily_trend_30(trend: DataFrame, n: int = 30) -> DataFrame:
     )
 
 
+def gold_product_listing(products: DataFrame, n: int = 10) -> DataFrame:
+    return (
+        products.select(
+            "stock_code", "description", "total_revenue", "total_quantity", "total_transactions"
+        )
+        .orderBy(F.desc("total_revenue"), "stock_code")
+        .limit(n)
+    )
+
+
+def gold_country_listing(countries: DataFrame, n: int = 10) -> DataFrame:
+    return (
+        countries.select("country", "total_revenue", "total_quantity", "total_transactions")
+        .orderBy(F.desc("total_revenue"), "country")
+        .limit(n)
+    )
+
+
+def gold_latest_days(trend: DataFrame, n: int = 10) -> DataFrame:
+    return (
+        trend.select(
+            "date", "total_revenue", "revenue_vs_previous_day", "revenue_vs_previous_day_pct",
+            "is_weekend",
+        )
+        .orderBy(F.desc("date"))
+        .limit(n)
+    )
+
+
 def cancellations_by_month(bronze: DataFrame) -> DataFrame:
     """Cancelled invoices and their value per month: returns or a 'C' invoice number."""
     cancelled = (F.col("quantity") < 0) | F.upper("invoiceno").startswith("C")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tillworks import schemas
 from tillworks.functions import rules
 from tillworks.plans.registry import AS_OF, EVENTS_NOW
 
@@ -358,6 +359,10 @@ def _suite() -> str:
         _check(f"{b}.customer_parses:customerid",
                "count(*) FILTER (customerid IS NOT NULL AND TRY_CAST(customerid AS DOUBLE) IS NULL)", "bronze")
     )
+    out += [
+        _check(f"{b}.max_length:{c}", f"count(*) FILTER (length({c}) > {n})", "bronze")
+        for c, n in schemas.BRONZE_TEXT_LIMITS.items()
+    ]
     out += _nulls(d, "dim_date", ["date_id", "date", "is_weekend"])
     out += [_check(f"{d}.has_rows", rows, "dim_date"), _dups(d, "dim_date", ["date_id"]),
             _dups(d, "dim_date", ["date"])]
@@ -461,6 +466,12 @@ def oracle_sql() -> dict[str, str]:
 
     out["clean_strict"] = f"WITH {_CLEAN_STRICT} SELECT * FROM strict"
     out["clean_lenient"] = _CLEAN_LENIENT
+    out["clean_report"] = f"""SELECT count(*) AS read_rows, count(*) FILTER (fate = 1) AS missing_key_rows,
+       count(*) FILTER (fate = 2) AS unreadable_date_rows, count(*) FILTER (fate = 3) AS invalid_price_rows,
+       count(*) FILTER (fate = 4) AS kept_rows
+FROM (SELECT CASE WHEN l_tax = 0.01 THEN 1 WHEN l_tax = 0.08 THEN 2
+             WHEN CASE WHEN l_discount <> 0.1 THEN {_PRICE} ELSE 0 END
+                  NOT BETWEEN {rules.MIN_PRICE} AND {rules.MAX_PRICE} THEN 3 ELSE 4 END AS fate{_JOINED})"""
     out["ingest_check"] = f"""WITH {_CLEAN_STRICT}, n AS (
 SELECT (SELECT count(*) FROM lineitem) AS expected_rows, (SELECT count(*) FROM strict) AS actual_rows)
 SELECT expected_rows, actual_rows, expected_rows - actual_rows AS missing_rows,
@@ -608,6 +619,19 @@ FROM ({_country_sales()})"""
        revenue_vs_previous_day_pct FROM ({_trend()}) ORDER BY date DESC LIMIT 30"""
     )
 
+    out["gold_product_listing"] = silver(
+        f"""SELECT stock_code, description, total_revenue, total_quantity, total_transactions
+FROM ({_PRODUCT_PERFORMANCE}) ORDER BY total_revenue DESC, stock_code LIMIT 10"""
+    )
+    out["gold_country_listing"] = silver(
+        f"""SELECT country, total_revenue, total_quantity, total_transactions
+FROM ({_country_sales()}) ORDER BY total_revenue DESC, country LIMIT 10"""
+    )
+    out["gold_latest_days"] = silver(
+        f"""SELECT date, total_revenue, revenue_vs_previous_day, revenue_vs_previous_day_pct, is_weekend
+FROM ({_trend()}) ORDER BY date DESC LIMIT 10"""
+    )
+
     out["dq_suite"] = f"WITH {_SUITE_CTES}\n{_suite()}"
     out["dq_summary"] = f"""WITH {_SUITE_CTES}, results AS ({_suite()})
 SELECT count(*) AS checks, count(*) FILTER (passed) AS passed, count(*) FILTER (NOT passed) AS failed,

@@ -76,6 +76,11 @@ def clean_lenient(spark, sf_dir):
     return X.clean_lenient(raw_lines(spark, sf_dir, defects=False))
 
 
+@query
+def clean_report(spark, sf_dir):
+    return X.cleaning_report(raw_lines(spark, sf_dir, defects=True))
+
+
 @query
 def ingest_check(spark, sf_dir):
     cleaned = X.clean_strict(raw_lines(spark, sf_dir, defects=True))
@@ -312,6 +317,21 @@ def gold_daily_trend_30(spark, sf_dir):
     return R.gold_daily_trend_30(_gold("fact_sales_daily_enhanced")(spark, sf_dir))
 
 
+@query
+def gold_product_listing(spark, sf_dir):
+    return R.gold_product_listing(_gold("fact_product_performance")(spark, sf_dir))
+
+
+@query
+def gold_country_listing(spark, sf_dir):
+    return R.gold_country_listing(_gold("fact_country_sales")(spark, sf_dir))
+
+
+@query
+def gold_latest_days(spark, sf_dir):
+    return R.gold_latest_days(_gold("fact_sales_daily_enhanced")(spark, sf_dir))
+
+
 # --- quality ----------------------------------------------------------------
 
 

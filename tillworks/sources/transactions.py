@@ -90,6 +90,26 @@ def clean_strict(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFr
     )
 
 
+def cleaning_report(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """What ``clean_strict`` does to a file, one row: lines read, dropped by reason, kept."""
+    raw = normalize_columns(df)
+    no_key = F.col("invoiceno").isNull() | F.col("stockcode").isNull() | F.col("invoicedate").isNull()
+    price = F.coalesce(_number("unitprice"), F.lit(0.0))
+    fate = (
+        F.when(no_key, "missing_key")
+        .when(_parsed_date(raw, formats).isNull(), "unreadable_date")
+        .when(~price.between(rules.MIN_PRICE, rules.MAX_PRICE), "invalid_price")
+        .otherwise("kept")
+    )
+    return raw.select(fate.alias("fate")).agg(
+        F.count(F.lit(1)).alias("read_rows"),
+        *[
+            F.count_if(F.col("fate") == f).alias(f"{f}_rows")
+            for f in ["missing_key", "unreadable_date", "invalid_price", "kept"]
+        ],
+    )
+
+
 def clean_lenient(df: DataFrame, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Object-store variant: fills text, keeps null keys, no upper price limit.
 
