@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 from oracle_check import compare, connect
+from tillworks.plans import oracle, registry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
