@@ -44,7 +44,7 @@ def _rows(columns, rows):
 
 def _kind(name: str) -> str:
     name = name.lower()
-    return {"hugeint": "bigint", "varchar": "string", "bool": "boolean"}.get(name, name)
+    return {"hugeint": "bigint", "integer": "int", "varchar": "string", "bool": "boolean"}.get(name, name)
 
 
 def compare(spark_df, con, sql: str) -> str | None:
