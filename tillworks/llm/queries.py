@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from tillworks.llm import decontamination
+from tillworks.llm import decontamination, simhash, vector_file
 from tillworks.llm.common import Query
 
+_OPERATORS = [
+    (decontamination.op1_decontamination, decontamination.SQL),
+    (vector_file.op2_vector_file, vector_file.SQL),
+    (simhash.op3_simhash, None),  # no XXH64 in SQL
+]
+
 
 def queries() -> dict[str, Query]:
-    return {"op1_decontamination": decontamination.op1_decontamination}
+    return {fn.__name__: fn for fn, _ in _OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontamination.SQL}
+    return {fn.__name__: sql for fn, sql in _OPERATORS if sql is not None}
