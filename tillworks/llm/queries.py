@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tillworks.llm import decontamination, mixing, sharding, simhash, vector_file
+from tillworks.llm import decontamination, line_chunks, mixing, sharding, simhash, vector_file
 from tillworks.llm.common import Query
 
 _OPERATORS = [
     (decontamination.op1_decontamination, decontamination.SQL),
     (vector_file.op2_vector_file, vector_file.SQL),
     (simhash.op3_simhash, None),  # no XXH64 in SQL
+    (line_chunks.op4_line_chunks, line_chunks.SQL),
     (sharding.op7_sharding, None),  # iterative
     (mixing.op9_mixing, None),  # drawn
 ]
