@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillworks.llm import decontamination, line_chunks, mixing, sharding, simhash, vector_file
+from tillworks.llm import chat, decontamination, line_chunks, mixing, sharding, simhash, vector_file
 from tillworks.llm.common import Query
 
 _OPERATORS = [
@@ -11,6 +11,7 @@ _OPERATORS = [
     (simhash.op3_simhash, None),  # no XXH64 in SQL
     (line_chunks.op4_line_chunks, line_chunks.SQL),
     (sharding.op7_sharding, None),  # iterative
+    (chat.op8_chat, chat.SQL),
     (mixing.op9_mixing, None),  # drawn
 ]
 
