@@ -19,10 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     """df written once to the shared folder and read again: lineage is cut there."""
     folder = fresh_folder(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(folder)
+    df.write.option("compression", compression).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

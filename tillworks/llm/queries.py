@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillworks.llm import chat, decontamination, line_chunks, mixing, sharding, simhash, vector_file
+from tillworks.llm import chat, decontamination, line_chunks, mixing, sharding, simhash, token_files, vector_file
 from tillworks.llm.common import Query
 
 _OPERATORS = [
@@ -10,6 +10,7 @@ _OPERATORS = [
     (vector_file.op2_vector_file, vector_file.SQL),
     (simhash.op3_simhash, None),  # no XXH64 in SQL
     (line_chunks.op4_line_chunks, line_chunks.SQL),
+    (token_files.op5_token_files, None),  # no tokenizer in SQL
     (sharding.op7_sharding, None),  # iterative
     (chat.op8_chat, chat.SQL),
     (mixing.op9_mixing, None),  # drawn
