@@ -1,21 +1,66 @@
-"""Training corpus: documents through the stages below, each stored as Parquet and read again by the next."""
+"""Training corpus: documents through five stages, each stored as Parquet and read again by the next.
+
+Every stage works on all that the one before kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import decontamination
+from tillworks.llm import decontamination, language, mixing, simhash, token_files
 from tillworks.llm.common import stored, table
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without any letter, for which no language can be told."""
+    labelled = language.sample(docs)
+    known = language.predicted_rows(docs, labelled).where(F.col("__lang_pred") != language.UNKNOWN)
+    return known.select([f"`{c}`" for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates one document stays: that of the least known id."""
+    kept = stored(simhash.representatives(simhash.near_duplicates(docs)), "representatives")
+    same_row = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__same") == F.col("same"))
+    kept = kept.select("id", "same", "n")
+    named = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__same"))
+    rest = named.join(kept, same_row)
+    if not kept.where("n > 1").isEmpty():  # rows repeated as a whole: one of them
+        rest = rest.dropDuplicates(["__id", "__same"])
+    return rest.select("__row.*")
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word of a benchmark window."""
-    hit = decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id")
-    return docs.join(hit.distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Drops documents in which a window of a benchmark item occurs."""
+    index = decontamination.build_index(docs)
+    hit = decontamination.find(index, table(spark, sf_dir, "benchmark")).where(F.size("hits") > 0)
+    hit = hit.select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti").select([f"`{c}`" for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats or leaves out documents so that the sources' words meet their target weights."""
+    take = mixing.copies(docs).where("copies > 0").select(
+        F.col("doc_id").alias("__d"), F.col("same").alias("__t"), F.col("source").alias("__s"), F.col("copies").alias("__copies"))
+    named = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__same"), F.col("source").alias("__source"))
+    mine = named.join(
+        take, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__same") == F.col("__t")) & F.col("__source").eqNullSafe(F.col("__s")))
+    return mine.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("__row.*")
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' token ids in plane files, and per document what is read back from them."""
+    return token_files.read(*token_files.write(docs))
 
 
-STAGES = [("decontamination", drop_contaminated)]
+STAGES = [
+    ("language", keep_known_languages),
+    ("near duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("token files", write_tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,4 +70,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-ORACLE_SQL = None  # later stages hash, draw and tokenise in ways SQL can't state
+ORACLE_SQL = None  # XXH64, random draws and tokenizers can't be stated in SQL

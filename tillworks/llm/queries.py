@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillworks.llm import chat, decontamination, line_chunks, mixing, sharding, simhash, token_files, vector_file
+from tillworks.llm import chat, decontamination, language, line_chunks, mixing, secrets, sharding, simhash, token_files, vector_file
 from tillworks.llm.common import Query
 
 _OPERATORS = [
@@ -11,9 +11,11 @@ _OPERATORS = [
     (simhash.op3_simhash, None),  # no XXH64 in SQL
     (line_chunks.op4_line_chunks, line_chunks.SQL),
     (token_files.op5_token_files, None),  # no tokenizer in SQL
+    (secrets.op6_secrets, None),  # no vocabulary in SQL
     (sharding.op7_sharding, None),  # iterative
     (chat.op8_chat, chat.SQL),
     (mixing.op9_mixing, None),  # drawn
+    (language.op10_language, None),  # learned
 ]
 
 

@@ -60,16 +60,17 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp): the fingerprint as a signed BIGINT."""
+    """(id, same, fp): a hash of the text, and the fingerprint, both as signed BIGINT."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["id", "same", "fp"])
 
     in_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(of_batch, f"`{id_col}` {kind}, fp bigint")
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).alias("t"))
+    return own.mapInArrow(of_batch, f"id {kind}, same bigint, fp bigint")
 
 
 def _grid_points(fp: Column, max_bits: int, segment: int) -> Column:
@@ -178,15 +179,22 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segment: int = SEGMENT_
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """(id, fp, component_id): one row per row of docs."""
+    """(id, same, fp, root, component_id) of each row of docs: root names the component by its least fingerprint."""
     of_docs = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    distinct = stored(of_docs.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
+    distinct = stored(of_docs.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     found = roots(links(distinct.select("fp"), max_bits))
     rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return of_docs.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+    return of_docs.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """(id, same, n) of the row that stands for each component: the least known id, then the least text hash; n rows are equal in both."""
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "same")
+    of_row = found.groupBy("root", "id", "same").agg(F.count("*").alias("n"))
+    return of_row.groupBy("root").agg(F.min_by(F.struct("id", "same", "n"), first).alias("r")).select("r.*")
 
 
 def op3_simhash(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
