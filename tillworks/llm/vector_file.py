@@ -65,9 +65,10 @@ def _ranges(vectors: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     by_place = parts.select("d", F.posexplode(F.arrays_zip("low", "high")).alias("i", "x")).groupBy("d", "i").agg(
         F.min("x.low").alias("low"), F.max("x.high").alias("high"))
     out: dict[int, list] = {}
+    nothing = np.zeros(0, np.int64)
     for d, i, low, high in by_place.orderBy("d", "i").collect():  # one row per component
         out.setdefault(d, []).append((low, high))
-    return {d: tuple(np.array(x, np.int64).T) for d, x in out.items()}
+    return {0: (nothing, nothing)} | {d: tuple(np.array(x, np.int64).T) for d, x in out.items()}
 
 
 class VectorFile:
