@@ -28,7 +28,8 @@ def test_product_category(spark, code, label):
     "text,cut,rounded",
     [
         ("17850.0", 17850, 17850), ("17850.6", 17850, 17851), ("17850", 17850, 17850),
-        ("", -1, -1), (None, -1, -1), ("abc", -1, -1), ("99999999999", -1, -1),
+        ("", -1, -1), (None, -1, -1), ("abc", -1, -1), ("99999999999", 99999999999, 99999999999),
+        ("3000000000.0", 3000000000, 3000000000), ("99999999999999999999", -1, -1),
     ],
 )
 def test_parse_customer_id(spark, text, cut, rounded):

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +21,40 @@ def test_replace_and_versions(spark, store):
         store.replace(frame(spark, (i, "a", "x")), "gold.t")
     assert rows(store.read("gold.t"), "k") == [(4,)]
     kept = sorted(os.listdir(f"{store.root}/gold/t"))
-    assert kept == ["version=3", "version=4", "version=5"]
+    assert len(kept) == 5  # replaced versions stay for a while
+    for version in (2, 3):  # replaced two days ago by these
+        os.utime(f"{store.root}/gold/t/version={version}/_SUCCESS", (time.time() - 172_800,) * 2)
+    store.replace(frame(spark, (9, "a", "x")), "gold.t")
+    kept = sorted(os.listdir(f"{store.root}/gold/t"))
+    assert kept == ["version=3", "version=4", "version=5", "version=6"]
+
+
+@pytest.mark.parametrize("name,parts", [("gold.follow_a", []), ("gold.follow_b", ["part"])])
+def test_registered_tables_follow_every_write(spark, store, name, parts):
+    store.replace(frame(spark, (0, "a", "x")), name, parts)
+    store.register(name, parts)
+    before = spark.table(name)
+    columns = ["k", "part", "v"]
+    for i in range(1, 6):
+        store.replace(frame(spark, (i, "a", "x"), (i, "b", "y")), name, parts)
+        assert sorted(rows(spark.table(name), *columns)) == [(i, "a", "x"), (i, "b", "y")]
+    store.append(frame(spark, (7, "c", "z")), name, parts)
+    assert sorted(rows(spark.table(name), *columns)) == sorted(rows(store.read(name), *columns))
+    if parts:
+        store.overwrite_partitions(frame(spark, (8, "d", "z"), (9, "a", "w")), name, parts)
+        assert sorted(rows(spark.table(name), *columns)) == [(5, "b", "y"), (7, "c", "z"), (8, "d", "z"), (9, "a", "w")]
+    assert rows(before.sparkSession.read.parquet(f"{store.root}/{name.replace('.', '/')}/version=1"), "k") == [(0,)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_updates_with_a_key_twice_are_refused(spark, store):
+    store.replace(frame(spark, (1, "a", "x")), "gold.t", ["part"])
+    twice = frame(spark, (1, "a", "y"), (1, "a", "z"))
+    with pytest.raises(ValueError, match="more than once"):
+        store.upsert(twice, "gold.t", ["k"])
+    with pytest.raises(ValueError, match="more than once"):
+        store.upsert_partitions(twice, "gold.t", ["k"], ["part"])
+    assert rows(store.read("gold.t"), "v") == [("x",)]
 
 
 def test_a_table_can_be_rewritten_from_itself(spark, store):

@@ -1,3 +1,5 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 import datetime as dt
 
 import frames as T
@@ -165,13 +167,22 @@ def test_affinity_without_spend(spark):
     assert row["pct_of_customer_spend"] is None and row["affinity_level"] == "Top 3 Product"
 
 
-def test_affinity_of_large_catalogues_is_the_same(spark):
-    """Ranking over several tasks equals the windows; one customer holds a third of the rows."""
+def test_affinity_of_a_hot_customer(spark):
+    """One customer holds a third of the rows; ranks equal windows over the customer."""
     day = DAYS[0]
     data = [(day, p, "UK", 1 if p % 3 == 0 else p % 7 + 2, 1, 1 + p % 4, f"{p % 13}.50") for p in range(1, 301)]
     data += [(DAYS[1], p, "UK", 1, 1, 1, "1.00") for p in range(3, 100, 9)]
     f, dates, products = T.fact(spark, data), T.dates_of(spark, DAYS), T.products(spark, 300)
-    window = CM.customer_product_affinity(f, products, dates, "2011-01-01")
-    spread = CM.customer_product_affinity(f, products, dates, "2011-01-01", max_group_rows=10)
-    assert window.count() == 300
-    assert window.exceptAll(spread).count() == 0 and spread.exceptAll(window).count() == 0
+    got = CM.customer_product_affinity(f, products, dates, "2011-01-01")
+    w = Window.partitionBy("customer_id")
+    ranked = got.withColumn("r", F.row_number().over(w.orderBy(F.desc("total_product_revenue"), "product_id"))).withColumn(
+        "f", F.row_number().over(w.orderBy(F.desc("times_purchased"), "product_id")))
+    assert ranked.count() == 300
+    assert ranked.where("r <> product_rank_by_revenue or f <> product_rank_by_frequency").count() == 0
+
+
+def test_customer_days_need_a_known_product(spark):
+    """A day on which only a product outside the dimension was bought counts nowhere."""
+    f = T.fact(spark, [(DAYS[0], 1, "UK", 1, 1, 1, "2.00"), (DAYS[1], 99, "France", 1, 1, 1, "50.00")])
+    row = CM.customer_lifetime_value(f, T.dates_of(spark, DAYS), T.products(spark, 1), "2011-01-01").head()
+    assert (row["total_purchase_days"], row["total_product_purchases"], row["country"]) == (1, 1, "UK")

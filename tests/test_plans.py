@@ -3,20 +3,18 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from frames import rows
 from tillworks.operators import customer_marts as CM
 from tillworks.operators import ledger as L
 from tillworks.operators import sales_marts as SM
-from tillworks.operators.lookup import lookup_side
-from tillworks.plans import workspace
+from tillworks.operators import reports as R
+from tillworks.plans import registry, workspace
 from tillworks.sources.testdata import bronze_lines
 
 SF_DIR = "/root/testdata/sf0.001"
 STREAMED = {"stream_bronze", "refresh_touched_months", "stream_daily_sales"}
-QUERIES = entry_point.queries()
+QUERIES = registry.queries()
 
 
 def plan(df):
@@ -45,12 +43,21 @@ def test_top_one_is_limited_before_the_shuffle(silver):
         assert plan(df).count("WindowGroupLimit") >= 2
 
 
-def test_customer_marts_do_not_expand_rows(silver):
+def test_marts_do_not_expand_rows(spark, silver):
     fact, dates, products = silver["fact_sales_daily"], silver["dim_date"], silver["dim_product"]
     for df in [
         CM.customer_lifetime_value(fact, dates, products),
         CM.customer_monthly_activity(fact, dates),
         CM.customer_product_affinity(fact, products, dates),
+        SM.sales_monthly(fact, dates),
+        SM.sales_monthly(fact, dates, count_unknown=True),
+        SM.product_performance(fact, products, dates),
+        SM.country_sales(fact, dates),
+        SM.sales_daily_enhanced(fact, dates),
+        SM.monthly_sales_summary(fact, dates),
+        SM.top_products_by_revenue(fact, products),
+        SM.country_performance(fact, dates),
+        R.bronze_summary(workspace.bronze(spark, SF_DIR)),
     ]:
         assert "Expand" not in plan(df)
 
@@ -61,12 +68,3 @@ def test_scans_read_only_needed_columns(spark):
     text = plan(S.fact_sales_daily(bronze_lines(spark, SF_DIR), *workspace.dimensions(spark, SF_DIR)))
     for unused in ["l_extendedprice", "l_shipdate", "o_totalprice", "c_acctbal", "p_retailprice"]:
         assert f"{unused}:" not in text.split("== Physical Plan ==")[1]
-
-
-def test_lookup_is_broadcast_only_within_its_limit(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert "broadcast" in plan(lookup_side(small)).lower()
-    assert "broadcast" not in plan(lookup_side(small, max_rows=9)).lower()
-    assert "broadcast" not in plan(lookup_side(small, rows=2_000_000)).lower()
-    big = spark.range(100).select((F.col("id") % 10).alias("k"))
-    assert rows(big.join(lookup_side(small, max_rows=9), "k").agg(F.count("*"))) == [(100,)]

@@ -178,7 +178,7 @@ def test_refresh_marts_resumes(spark, layers):
     stages = rows(store.read("ops.pipeline_checkpoint").orderBy("stage"), "stage", "status")
     assert stages == [("country_sales", "completed"), ("product_performance", "completed")]
     assert rows(store.read("gold.fact_country_sales").orderBy("country"), "country", "unique_customers") == [
-        ("France", 1), ("UK", 1)
+        ("France", 0), ("UK", 1)
     ]
     logs = store.read("ops.pipeline_logs")
     assert rows(oplog.logs_by_level(logs)) == [("gold_refresh", run, "INFO", 4)]
@@ -187,6 +187,21 @@ def test_refresh_marts_resumes(spark, layers):
     assert store.location("gold.fact_country_sales") == version
 
 
+@pytest.mark.parametrize("count_unknown", [False, True])
+def test_partial_refreshes_equal_a_full_run(spark, layers, count_unknown):
+    """One setting of the unknown customer holds for full and partial runs of a store."""
+    store, _ = layers
+    store.count_unknown = count_unknown
+    tables = medallion.read_silver(store)
+    medallion.build_gold(store, tables, "2011-02-01")
+    names = ["gold.fact_sales_monthly", "gold.fact_country_sales", "gold.fact_product_performance"]
+    full = {n: sorted(map(str, store.read(n).collect())) for n in names}
+    monthly.reset_ledger(store)
+    monthly.refresh_months(store, 2011, 1)
+    monthly.refresh_marts(store)
+    assert {n: sorted(map(str, store.read(n).collect())) for n in names} == full
+
+
 def test_refresh_marts_records_failure(spark, layers, monkeypatch):
     store, _ = layers
     upsert = store.upsert
@@ -219,6 +234,8 @@ def test_logs(spark, store, tmp_path):
     (tmp_path / "fallback.jsonl").write_text("\n".join(lines))
     count, unreadable = monthly.recover_logs(store, str(tmp_path / "fallback.jsonl"))
     assert count == 2 and unreadable.count() == 2
+    again, _ = monthly.recover_logs(store, str(tmp_path / "fallback.jsonl"))
+    assert again == 0  # a second recovery adds nothing
     logs = store.read("ops.pipeline_logs")
     assert sorted(rows(oplog.logs_by_level(logs))) == [("p", "r", "ERROR", 1), ("p", "r", "INFO", 1), ("p", "r2", "INFO", 2)]
     cover = {r["run_id"]: (r["log_count"], r["first_log"], r["last_log"]) for r in oplog.log_coverage(logs).collect()}

@@ -8,8 +8,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tillworks.operators import quality
 from tillworks.plans import medallion, monthly
+from tillworks.sources import transactions as X
 from tillworks.sources.layers import LayerStore
 from tillworks.streaming import landing
 
@@ -22,6 +22,9 @@ def _arguments() -> argparse.ArgumentParser:
     run.add_argument("--source", required=True)
     run.add_argument("--format", default="csv", choices=["csv", "parquet"])
     run.add_argument("--cleaning", default="strict", choices=["strict", "lenient"])
+    run.add_argument(
+        "--date-format", action="append", help="layout of text dates, tried in order; repeatable"
+    )
     run.add_argument("--as-of", help="day the customer marts count from; default today")
 
     months = jobs.add_parser("months", help="process pending months of the monthly mart")
@@ -40,6 +43,10 @@ def _arguments() -> argparse.ArgumentParser:
 
     for job in (run, months, marts, stream):
         job.add_argument("--root", required=True, help="folder of the layers")
+        job.add_argument(
+            "--count-unknown", action="store_true",
+            help="count the unknown customer as one; the same for all jobs of a root",
+        )
     return parser
 
 
@@ -47,16 +54,18 @@ def main(argv: Sequence[str] | None = None) -> int:
     """Run a job; returns 0, or 1 when a check of the full run failed."""
     args = _arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"tillworks-{args.job}").getOrCreate()
-    store = LayerStore(spark, args.root)
+    store = LayerStore(spark, args.root, count_unknown=args.count_unknown)
 
     if args.job == "run":
         checks = medallion.run(
-            spark, args.source, args.root, args.format, args.as_of, args.cleaning
-        )
-        checks.where("NOT passed").show(truncate=False)
-        total = quality.summarize(checks).head()
-        print(f"{total['passed']}/{total['checks']} checks passed")
-        return 0 if total["ok"] else 1
+            spark, args.source, args.root, args.format, args.as_of, args.cleaning,
+            args.date_format or X.DATE_FORMATS, args.count_unknown,
+        ).collect()  # a row per check
+        failed = [c for c in checks if not c["passed"]]
+        for c in failed:
+            print(f"FAILED {c['check_name']}: {c['failing_rows']} rows")
+        print(f"{len(checks) - len(failed)}/{len(checks)} checks passed")
+        return 1 if failed else 0
     if args.job == "months":
         if args.reset:
             monthly.reset_ledger(store)

@@ -90,23 +90,28 @@ def as_of_date(as_of: dt.date | str | None) -> Column:
 
 
 def parse_customer_id(text: Column | str, numeric: bool = False) -> Column:
-    """Customer text to int: '17850.0' -> 17850; missing, empty or junk -> -1.
+    """Customer text to BIGINT: '17850.0' -> 17850; missing, empty, junk or beyond BIGINT -> -1.
 
     The default drops what follows the point; ``numeric`` rounds it instead.
     """
     c = _col(text)
     if numeric:
-        value = F.round(c.try_cast("decimal(20,4)"), 0).try_cast("int")
+        value = F.round(c.try_cast("decimal(24,4)"), 0).try_cast("bigint")
     else:
-        value = F.nullif(F.substring_index(c, ".", 1), F.lit("")).try_cast("int")
-    return F.coalesce(value, F.lit(rules.UNKNOWN_CUSTOMER))
+        value = F.nullif(F.substring_index(c, ".", 1), F.lit("")).try_cast("bigint")
+    return F.coalesce(value, F.lit(rules.UNKNOWN_CUSTOMER).cast("bigint"))
 
 
 def is_junk_customer(text: Column | str) -> Column:
     """Customer text that is there but is no number."""
     c = _col(text)
     head = F.nullif(F.substring_index(c, ".", 1), F.lit(""))
-    return head.isNotNull() & head.try_cast("int").isNull()
+    return head.isNotNull() & head.try_cast("bigint").isNull()
+
+
+def days_of_month() -> Column:
+    """Distinct days (column day) of one month as set bits: COUNT(DISTINCT) that adds up map-side."""
+    return F.bit_count(F.bit_or(F.expr("shiftleft(1L, day)")))
 
 
 def known_customer(customer_id: Column | str) -> Column:

@@ -9,13 +9,9 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import columns as C
 from tillworks.functions import rules
-from tillworks.operators.lookup import lookup_side
 from tillworks.operators.ranking import first_per_key, with_group_position
 from tillworks.session import durable
 
-# Rows of one customer that a single task may rank.
-MAX_RANKED_ROWS = 5_000_000
-
 
 def _known(fact: DataFrame) -> DataFrame:
     return fact.where(F.col("customer_id") != rules.UNKNOWN_CUSTOMER)
@@ -57,11 +53,6 @@ def _product_sums(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def _days_of_month() -> Column:
-    """Distinct days of one month as set bits: COUNT(DISTINCT) that adds up map-side."""
-    return F.bit_count(F.bit_or(F.expr("shiftleft(1L, day)")))
-
-
 def customer_lifetime_value(
     fact: DataFrame, dates: DataFrame, products: DataFrame, as_of: dt.date | str | None = None
 ) -> DataFrame:
@@ -75,7 +66,7 @@ def customer_lifetime_value(
     month. A hot customer's rows spread over its products and months.
     """
     per_product = _product_sums(fact, dates).join(
-        lookup_side(products.select("product_id", "category")), "product_id"
+        products.select("product_id", "category"), "product_id"
     )
     sums = per_product.groupBy("customer_id").agg(
         F.sum("times_purchased").alias("total_product_purchases"),
@@ -89,10 +80,11 @@ def customer_lifetime_value(
         F.count(F.lit(1)).alias("unique_products_purchased"),
         F.countDistinct("category").alias("unique_categories_purchased"),
     )
+    sold = fact.join(products.select("product_id"), "product_id", "left_semi")
     days = (
-        _dated(fact, dates, "year", "month", "day")
+        _dated(sold, dates, "year", "month", "day")
         .groupBy("customer_id", "year", "month")
-        .agg(_days_of_month().alias("days"))
+        .agg(C.days_of_month().alias("days"))
         .groupBy("customer_id")
         .agg(F.sum("days").alias("total_purchase_days"))
     )
@@ -101,7 +93,7 @@ def customer_lifetime_value(
     zero = F.lit(0).cast("decimal(28,10)")
     return (
         sums.join(days, "customer_id")
-        .join(primary_country(fact), "customer_id")
+        .join(primary_country(sold), "customer_id")
         .withColumn("customer_lifespan_days", lifespan)
         .select(
             "customer_id",
@@ -150,7 +142,7 @@ def customer_monthly_activity(fact: DataFrame, dates: DataFrame) -> DataFrame:
         _dated(fact, dates, "date", "year", "month", "day")
         .groupBy("customer_id", "country", "year", "month")
         .agg(
-            _days_of_month().cast("bigint").alias("purchase_days_in_month"),
+            C.days_of_month().cast("bigint").alias("purchase_days_in_month"),
             F.countDistinct("product_id").alias("unique_products"),
             C.count_sum("total_transactions").alias("monthly_orders"),
             C.count_sum("total_quantity").alias("monthly_items"),
@@ -194,27 +186,14 @@ def customer_monthly_activity(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def _ranked_products(sums: DataFrame, max_group_rows: int, catalogue: int) -> DataFrame:
+def _ranked_products(sums: DataFrame) -> DataFrame:
     """(customer, product) sums with the customer's spend and both ranks.
 
-    Ties go to the smaller product id. A customer has at most one row per
-    product, so the size of the catalogue decides: within the limit, windows do
-    all of it after one shuffle on the customer; beyond it a customer's rows are
-    ranked by several tasks.
+    Ties go to the smaller product id. Ranks come from positions in the whole
+    table, so a customer of any size is ranked by as many tasks as its rows need.
     """
     by_revenue = [F.desc("total_product_revenue"), F.asc("product_id")]
     by_frequency = [F.desc("times_purchased"), F.asc("product_id")]
-    if catalogue <= max_group_rows:
-        customer = Window.partitionBy("customer_id")
-        return (
-            sums.withColumn("_spend", F.sum("total_product_revenue").over(customer))
-            .withColumn(
-                "product_rank_by_revenue", F.row_number().over(customer.orderBy(*by_revenue))
-            )
-            .withColumn(
-                "product_rank_by_frequency", F.row_number().over(customer.orderBy(*by_frequency))
-            )
-        )
     sums = durable(sums)
     spend = sums.groupBy("customer_id").agg(C.money_sum("total_product_revenue").alias("_spend"))
     ranked = with_group_position(sums, ["customer_id"], by_revenue, "product_rank_by_revenue")
@@ -227,18 +206,17 @@ def customer_product_affinity(
     products: DataFrame,
     dates: DataFrame,
     as_of: dt.date | str | None = None,
-    max_group_rows: int = MAX_RANKED_ROWS,
 ) -> DataFrame:
     """One row per (customer, product) with ranks inside the customer."""
-    catalogue = products.count()
     # before the ranks: only products of the dimension take part in them
-    sums = _product_sums(fact, dates).join(lookup_side(products, rows=catalogue), "product_id")
+    sums = _product_sums(fact, dates).join(products.select("product_id"), "product_id", "left_semi")
     span = F.datediff("last_purchased_date", "first_purchased_date")
     idle_days = F.datediff(C.as_of_date(as_of), "last_purchased_date")
     times = F.col("times_purchased")
     share = C.divide(F.col("total_product_revenue") * 100, "_spend")
     return (
-        _ranked_products(sums, max_group_rows, catalogue)
+        _ranked_products(sums)
+        .join(products, "product_id")
         .withColumn("days_buying_this_product", span)
         .withColumn("pct_of_customer_spend", share)
         .select(

@@ -49,6 +49,16 @@ def log_coverage(logs: DataFrame) -> DataFrame:
     )
 
 
+def absent_rows(logs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows whose run, time, level and message are not in the logs yet, each once."""
+    key = ["run_id", "timestamp", "level", "message"]
+    seen = logs.select(*[F.col(c).alias(f"_{c}") for c in key]).distinct()
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return rows.dropDuplicates(key).join(seen, same, "left_anti")
+
+
 # Fields of a fallback log line.
 _FALLBACK = T.StructType(
     [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +48,9 @@ def read_silver(store: LayerStore) -> Tables:
     }
 
 
-def gold_models(as_of: dt.date | str | None = None) -> dict[str, Callable[[Tables], DataFrame]]:
+def gold_models(
+    as_of: dt.date | str | None = None, count_unknown: bool = False
+) -> dict[str, Callable[[Tables], DataFrame]]:
     """Every gold table over the silver ones, by name."""
 
     def over(fn, *names, **kw):
@@ -56,9 +58,9 @@ def gold_models(as_of: dt.date | str | None = None) -> dict[str, Callable[[Table
 
     f, d, p = "fact_sales_daily", "dim_date", "dim_product"
     return {
-        "fact_sales_monthly": over(SM.sales_monthly, f, d),
+        "fact_sales_monthly": over(SM.sales_monthly, f, d, count_unknown=count_unknown),
         "fact_product_performance": over(SM.product_performance, f, p, d),
-        "fact_country_sales": over(SM.country_sales, f, d),
+        "fact_country_sales": over(SM.country_sales, f, d, count_unknown=count_unknown),
         "fact_sales_daily_enhanced": lambda t: SM.day_over_day(SM.sales_daily_enhanced(t[f], t[d])),
         "monthly_sales_summary": over(SM.monthly_sales_summary, f, d),
         "top_products_by_revenue": over(SM.top_products_by_revenue, f, p),
@@ -71,7 +73,7 @@ def gold_models(as_of: dt.date | str | None = None) -> dict[str, Callable[[Table
 
 def build_gold(store: LayerStore, tables: Tables, as_of: dt.date | str | None = None) -> Tables:
     """Write every gold table; returns them as read back."""
-    for name, model in gold_models(as_of).items():
+    for name, model in gold_models(as_of, store.count_unknown).items():
         store.replace(model(tables), f"gold.{name}")
     return read_gold(store)
 
@@ -83,14 +85,15 @@ def read_gold(store: LayerStore) -> Tables:
 def run(
     spark: SparkSession, source: str, root: str, fmt: str = "csv",
     as_of: dt.date | str | None = None, cleaning: str = "strict",
+    date_formats: Sequence[str] = X.DATE_FORMATS, count_unknown: bool = False,
 ) -> DataFrame:
     """Full refresh of every layer from the source; returns the checks' rows.
 
     Running it again on the same source gives the same tables.
     """
-    store = LayerStore(spark, root)
+    store = LayerStore(spark, root, count_unknown=count_unknown)
     clean = {"strict": X.clean_strict, "lenient": X.clean_lenient}[cleaning]
-    lines = clean(X.read_transactions(spark, source, fmt))
+    lines = clean(X.read_transactions(spark, source, fmt), date_formats)
     write_bronze(store, X.bronze_rows(lines, batch=str(uuid.uuid4())), mode="overwrite")
     bronze = store.read("bronze.raw_transactions")
     tables = silver_tables(store, bronze)

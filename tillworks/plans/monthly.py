@@ -13,6 +13,7 @@ from tillworks.functions import rules
 from tillworks.operators import ledger as L
 from tillworks.operators import oplog
 from tillworks.operators import sales_marts as SM
+from tillworks.session import durable
 from tillworks.sources.layers import LayerStore
 
 MONTHS, CHECKPOINTS, LOGS = "ops.processed_months", "ops.pipeline_checkpoint", "ops.pipeline_logs"
@@ -45,7 +46,8 @@ def recompute(store: LayerStore, months: Sequence[tuple[int, int]]) -> None:
     folder per month would hold a single row each.
     """
     fact, dates = store.read("silver.fact_sales_daily"), store.read("silver.dim_date")
-    store.upsert(L.recompute_months(fact, dates, months), MONTHLY, ["year", "month"])
+    rows = L.recompute_months(fact, dates, months, store.count_unknown)
+    store.upsert(rows, MONTHLY, ["year", "month"])
 
 
 def refresh_months(
@@ -81,14 +83,20 @@ def repair(store: LayerStore, clean_months: Sequence[tuple[int, int]]) -> None:
 
 
 def append_log(store: LayerStore, rows: DataFrame) -> None:
-    store.append(rows.coalesce(1), LOGS)
+    store.append(rows, LOGS)
 
 
 def recover_logs(store: LayerStore, path: str) -> tuple[int, DataFrame]:
-    """Append fallback log lines to the log table; returns the count and the unreadable lines."""
+    """Append fallback log lines to the log table; returns the count and the unreadable lines.
+
+    Lines that the table has already (run, time, level and message) are left out, so a
+    second recovery of a file adds nothing.
+    """
     rows, unreadable = oplog.recover_logs(store.spark, path)
-    store.append(rows, LOGS)
-    return rows.count(), unreadable
+    before = store.read_or_empty(LOGS)
+    fresh = durable(oplog.absent_rows(before, rows))
+    store.append(fresh, LOGS)
+    return fresh.count(), unreadable
 
 
 def refresh_marts(
@@ -139,7 +147,7 @@ def refresh_marts(
     )
     stage(
         "country_sales", "gold.fact_country_sales", ["country"],
-        SM.country_sales(fact, dates, count_unknown=True),
+        SM.country_sales(fact, dates, store.count_unknown),
     )
     log("INFO", "finished", run_id=run_id)
     return run_id

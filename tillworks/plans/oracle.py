@@ -50,7 +50,7 @@ SELECT row_number() OVER (ORDER BY stockcode) AS product_id, stockcode AS stock_
        min(description) AS description, {_category('stockcode')} AS category
 FROM bronze WHERE stockcode IS NOT NULL AND description IS NOT NULL GROUP BY stockcode)"""
 
-_CUSTOMER_ID = "coalesce(TRY_CAST(nullif(split_part(customerid, '.', 1), '') AS INT), -1)"
+_CUSTOMER_ID = "coalesce(TRY_CAST(nullif(split_part(customerid, '.', 1), '') AS BIGINT), -1)"
 
 _FACT = f"""fact AS (
 SELECT date_id, product_id, country, max({_CUSTOMER_ID}) AS customer_id,
@@ -704,16 +704,13 @@ UNION ALL SELECT DISTINCT strftime(o_orderdate, '%Y-%m'), year(o_orderdate), mon
         f"""SELECT strftime(invoicedate, '%Y-%m') AS invoice_month, count(*) AS line_count,
        {_n('sum(quantity)', 'total_quantity')}, {_m(revenue, 'total_revenue')} FROM bronze GROUP BY 1"""
     )
-    out["arrivals"] = "SELECT 'lineitem.parquet' AS file_name, count(*) AS row_count FROM lineitem"
+    out["arrivals"] = "SELECT 'lineitem.parquet' AS file_name, count(*) AS row_count, TRUE AS has_bytes FROM lineitem"
     out["refresh_touched_months"] = silver(_monthly(_ALL_CUSTOMERS))
-    # a day is closed once the watermark, one day behind the newest line, passed its end
     out["stream_daily_sales"] = bronze(
         f"""SELECT {_d('CAST(invoicedate AS DATE)', 'date')}, stockcode AS stock_code, country,
        {_n(f'max({_CUSTOMER_ID})', 'customer_id')}, count(DISTINCT invoiceno) AS total_transactions,
        {_n('sum(quantity)', 'total_quantity')}, {_m(revenue, 'total_revenue')}
 FROM bronze WHERE quantity > 0 AND unitprice >= 0 AND country IS NOT NULL
-  AND CAST(invoicedate AS DATE) + INTERVAL 1 DAY <= (
-      SELECT max(invoicedate) FROM bronze WHERE quantity > 0) - INTERVAL 1 DAY
 GROUP BY CAST(invoicedate AS DATE), stockcode, country"""
     )
     return out

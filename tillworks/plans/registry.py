@@ -89,7 +89,7 @@ def ingest_check(spark, sf_dir):
 
 @query
 def bronze_summary(spark, sf_dir):
-    return R.bronze_summary(bronze_lines(spark, sf_dir))
+    return R.bronze_summary(workspace.bronze(spark, sf_dir))
 
 
 @query
@@ -185,7 +185,7 @@ def silver_metrics(spark, sf_dir):
 def layer_row_counts(spark, sf_dir):
     t = workspace.silver(spark, sf_dir)
     summary = SM.monthly_sales_summary(t["fact_sales_daily"], t["dim_date"])
-    named = {"bronze.raw_transactions": bronze_lines(spark, sf_dir)}
+    named = {"bronze.raw_transactions": workspace.bronze(spark, sf_dir)}
     named |= {f"silver.{n}": df for n, df in t.items()}
     return R.layer_row_counts(named | {"gold.monthly_sales_summary": summary})
 
@@ -337,10 +337,8 @@ def gold_latest_days(spark, sf_dir):
 
 def _suite(spark, sf_dir):
     t = workspace.silver(spark, sf_dir)
-    marts = {
-        n: m(t) for n, m in medallion.gold_models(AS_OF).items() if not n.startswith("fact_")
-    }
-    return quality.suite({"raw_transactions": bronze_lines(spark, sf_dir)} | t | marts)
+    marts = {n: m for n, m in workspace.gold(spark, sf_dir, AS_OF).items() if not n.startswith("fact_")}
+    return quality.suite({"raw_transactions": workspace.bronze(spark, sf_dir)} | t | marts)
 
 
 @query
@@ -383,7 +381,7 @@ def dq_failures(spark, sf_dir):
 @query
 def reconcile_layers(spark, sf_dir):
     fact = workspace.silver(spark, sf_dir)["fact_sales_daily"]
-    return quality.reconcile_layers(bronze_lines(spark, sf_dir), fact)
+    return quality.reconcile_layers(workspace.bronze(spark, sf_dir), fact)
 
 
 @query
@@ -571,10 +569,11 @@ def _line_stream(spark, sf_dir):
 @query
 def stream_bronze(spark, sf_dir):
     """Landed lines in bronze, per month."""
-    out = workspace.fresh_folder(spark, "stream-bronze")
-    landing.stream_bronze(_line_stream(spark, sf_dir), out, f"{out}-checkpoint")
+    root = workspace.fresh_folder(spark, "stream-bronze")
+    store = LayerStore(spark, root)
+    landing.stream_bronze(_line_stream(spark, sf_dir), store, f"{root}-checkpoint")
     return (
-        spark.read.parquet(out)
+        store.read(landing.BRONZE)
         .groupBy("invoice_month")
         .agg(
             F.count(F.lit(1)).alias("line_count"),
@@ -587,21 +586,22 @@ def stream_bronze(spark, sf_dir):
 @query
 def arrivals(spark, sf_dir):
     files = landing.arrivals(spark, f"{sf_dir}/lineitem.parque[t]", "parquet")
-    return files.select("file_name", "row_count")
+    return files.select("file_name", "row_count", (F.col("file_size") > 0).alias("has_bytes"))
 
 
 @query
 def refresh_touched_months(spark, sf_dir):
     """Monthly rows after the landed lines went through every layer."""
     root = workspace.fresh_folder(spark, "stream-refresh")
-    store = LayerStore(spark, root)
+    store = LayerStore(spark, root, count_unknown=True)
     landing.refresh_touched_months(store, _line_stream(spark, sf_dir), f"{root}-checkpoint")
     return store.read("gold.fact_sales_monthly")
 
 
 @query
 def stream_daily_sales(spark, sf_dir):
-    """Closed days of the landed lines."""
-    out = workspace.fresh_folder(spark, "stream-daily")
-    stream_daily.run_daily_sales(_line_stream(spark, sf_dir), out, f"{out}-checkpoint")
-    return spark.read.parquet(out)
+    """Daily sales of the landed lines."""
+    root = workspace.fresh_folder(spark, "stream-daily")
+    store = LayerStore(spark, root)
+    stream_daily.stream_daily_sales(_line_stream(spark, sf_dir), store, f"{root}-checkpoint")
+    return store.read(stream_daily.DAILY).drop("invoice_month")

@@ -1,4 +1,4 @@
-"""Table contracts."""
+"""Table contracts: column names and types are fixed values."""
 
 from __future__ import annotations
 
@@ -40,12 +40,18 @@ DIM_PRODUCT = _struct(
     ("product_id", _L), ("stock_code", _S), ("description", _S), ("category", _S),
 )
 FACT_SALES_DAILY = _struct(
-    ("date_id", _I), ("product_id", _L), ("country", _S), ("customer_id", _I),
+    ("date_id", _I), ("product_id", _L), ("country", _S), ("customer_id", _L),
     ("total_transactions", _L), ("total_quantity", _L),
     ("total_revenue", T.DecimalType(15, 2)), ("avg_unit_price", T.DecimalType(14, 6)),
     ("year", _I), ("month", _I),
 )
 
+DAILY_SALES = _struct(
+    ("date", _D), ("stock_code", _S), ("country", _S), ("customer_id", _L),
+    ("total_transactions", _L), ("total_quantity", _L), ("total_revenue", T.DecimalType(18, 2)),
+    ("invoice_month", _S),
+)
+
 PROCESSED_MONTHS = _struct(
     ("month_key", _S), ("year", _I), ("month", _I), ("processed_at", _TS),
     ("updated_at", _TS), ("status", _S), ("metadata", _S),
@@ -62,7 +68,7 @@ PIPELINE_LOGS = _struct(
     ("line", _I), ("metadata", _S),
 )
 
-# Longest text each bronze column may hold.
+# Longest text each bronze column may hold.
 BRONZE_TEXT_LIMITS = {
     "invoiceno": 10, "stockcode": 20, "description": 255, "customerid": 10, "country": 100,
 }
@@ -72,6 +78,7 @@ TABLES = {
     "silver.dim_date": DIM_DATE,
     "silver.dim_product": DIM_PRODUCT,
     "silver.fact_sales_daily": FACT_SALES_DAILY,
+    "silver.daily_sales": DAILY_SALES,
     "ops.processed_months": PROCESSED_MONTHS,
     "ops.processed_dates": PROCESSED_DATES,
     "ops.pipeline_checkpoint": PIPELINE_CHECKPOINT,
@@ -80,4 +87,5 @@ TABLES = {
 PARTITIONED_BY = {
     "bronze.raw_transactions": ["ingest_batch", "invoice_month"],
     "silver.fact_sales_daily": ["year", "month"],
+    "silver.daily_sales": ["invoice_month"],
 }

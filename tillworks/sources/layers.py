@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks import schemas
-from tillworks.operators.merge import upsert
+from tillworks.operators.merge import find_duplicate_keys, upsert
 
 LAYERS = ["bronze", "silver", "gold", "ops"]
 
@@ -22,12 +23,20 @@ class LayerStore:
     or the new rows, and a job that dies half-way leaves the old ones. Partition
     overwrites stay inside the current version; Spark stages them and moves only
     the partitions written, so a rerun replaces instead of adding.
+
+    A replaced version stays for ``retain_hours``, so that frames read before and
+    jobs under way still find their files. A registered catalog table follows the
+    current version. ``count_unknown`` says for all marts of the store whether
+    the unknown customer counts as one.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
+    def __init__(
+        self, spark: SparkSession, root: str, retain_hours: float = 24.0, count_unknown: bool = False
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.keep = keep
+        self.retain_hours = retain_hours
+        self.count_unknown = count_unknown
 
     # --- versions ---
 
@@ -72,10 +81,13 @@ class LayerStore:
         return f"{self._folder(name)}/version={self._versions(name)[1] + 1}"
 
     def _drop_old(self, name: str) -> None:
+        """Remove versions that were replaced longer than ``retain_hours`` ago."""
         done, _ = self._versions(name)
-        for version in done[: -self.keep]:
-            fs, hpath = self._fs(f"{self._folder(name)}/version={version}")
-            fs.delete(hpath, True)
+        limit = (time.time() - self.retain_hours * 3600) * 1000
+        for version, follower in zip(done, done[1:]):
+            fs, marker = self._fs(f"{self._folder(name)}/version={follower}/_SUCCESS")
+            if fs.getFileStatus(marker).getModificationTime() < limit:
+                fs.delete(self._fs(f"{self._folder(name)}/version={version}")[1], True)
 
     # --- reading and writing ---
 
@@ -103,6 +115,7 @@ class LayerStore:
     def replace(self, df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> None:
         """Full refresh: a new version takes over."""
         self._writer(df, name, partition_by).mode("errorifexists").parquet(self._next(name))
+        self._follow(name)
         self._drop_old(name)
 
     def overwrite_partitions(
@@ -116,14 +129,22 @@ class LayerStore:
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
             self.location(name)
         )
+        self._follow(name)
 
     def append(self, df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> None:
         if not self.exists(name):
             return self.replace(df, name, partition_by)
         self._writer(df, name, partition_by).mode("append").parquet(self.location(name))
+        self._follow(name)
+
+    def _refuse_duplicates(self, updates: DataFrame, name: str, keys: Sequence[str]) -> None:
+        twice = find_duplicate_keys(updates, keys).head()
+        if twice is not None:
+            raise ValueError(f"updates of {name} hold a key more than once: {twice}")
 
     def upsert(self, updates: DataFrame, name: str, keys: Sequence[str]) -> None:
         """Replace rows by key and add new ones, rewriting the whole table."""
+        self._refuse_duplicates(updates, name, keys)
         if self.exists(name):
             updates = upsert(self.read(name), updates, keys)
         self.replace(updates, name)
@@ -136,6 +157,7 @@ class LayerStore:
         Rows must not change partition between versions of the same key. The
         touched partitions are storage folders (months), so their list is short.
         """
+        self._refuse_duplicates(updates, name, keys)
         merged = updates
         if self.exists(name):
             touched = updates.select(*partition_by).distinct().collect()
@@ -156,7 +178,7 @@ class LayerStore:
             self.register(name)
 
     def register(self, name: str, partition_by: Sequence[str] | None = None) -> None:
-        """Point the catalog table at the current version."""
+        """A catalog table over the current version; later writes move it along."""
         layer = name.split(".")[0]
         parts = schemas.PARTITIONED_BY.get(name, []) if partition_by is None else list(partition_by)
         fields = ", ".join(
@@ -172,6 +194,33 @@ class LayerStore:
         if parts:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
+    def _registered_at(self, name: str) -> str | None:
+        """Location of the catalog table if it is one of this store's."""
+        if not self.spark.catalog.tableExists(name):
+            return None
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").head()
+        place = rows["data_type"] if rows else ""
+        folder = self._fs(self._folder(name))[1].toUri().getPath()
+        return place if f"{folder}/version=" in place else None
+
+    def _follow(self, name: str) -> None:
+        """Bring a registered table to the current version and its partitions."""
+        place = self._registered_at(name)
+        if place is None:
+            return
+        now = self.location(name)
+        parted = any(f.isPartition for f in self.spark.catalog.listColumns(name))
+        moved = not place.rstrip("/").endswith(now.rsplit("/", 1)[1])
+        if moved and parted:
+            # partitions keep their own places: enter the table anew
+            parts = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
+            self.register(name, parts)
+        elif moved:
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{now}'")
+        elif parted:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(name)
+
 
 def in_partitions(rows, columns: Sequence[str]):
     """Predicate for a short list of partition values; prunes folders at planning."""

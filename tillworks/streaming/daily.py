@@ -5,64 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillworks import schemas
 from tillworks.functions import columns as C
 from tillworks.operators.silver import sale_lines
+from tillworks.sources.layers import LayerStore, in_partitions
+from tillworks.streaming import landing
 
+DAILY = "silver.daily_sales"
 
-def stream_daily_sales(bronze: DataFrame, late: str = "1 day") -> DataFrame:
-    """Sales per (day, stock code, country), emitted once the day can no longer change.
 
-    Structured Streaming rejects COUNT(DISTINCT). Two chained aggregations count
-    invoices exactly: first one row per invoice in the group, then the group.
-    The first also spreads a hot group's state over its invoices. Lines later
-    than the watermark are left to the batch recomputation of their month.
-    """
-    # watermarks need an instant and windows follow UTC days: read the wall clock as UTC
-    wall_clock = F.from_utc_timestamp(F.col("invoicedate").cast("timestamp"), F.current_timezone())
-    lines = sale_lines(bronze).withColumn("event_time", wall_clock)
-    day = F.window("event_time", "1 day")
-    cents = (F.col("unitprice") * 100).cast("bigint") * F.col("quantity")
-    per_invoice = (
-        lines.withWatermark("event_time", late)
-        .groupBy(day, F.col("stockcode").alias("stock_code"), "country", "invoiceno")
+def daily_sales(bronze: DataFrame) -> DataFrame:
+    """Sales per (day, stock code, country); COUNT DISTINCT spreads a hot group over its invoices."""
+    return (
+        sale_lines(bronze)
+        .where(F.col("invoicedate").isNotNull())
+        .groupBy(
+            F.to_date("invoicedate").alias("date"), F.col("stockcode").alias("stock_code"), "country"
+        )
         .agg(
-            F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
-            F.sum(cents).alias("cents"),
             F.max(C.parse_customer_id("customerid")).alias("customer_id"),
+            F.countDistinct("invoiceno").alias("total_transactions"),
+            C.count_sum("quantity").alias("total_quantity"),
+            C.line_revenue().alias("total_revenue"),
         )
-    )
-    per_group = per_invoice.groupBy(
-        F.window(F.window_time("window"), "1 day"), "stock_code", "country"
-    ).agg(
-        F.max("customer_id").alias("customer_id"),
-        F.count("invoiceno").alias("total_transactions"),
-        F.sum("quantity").alias("total_quantity"),
-        F.sum("cents").alias("cents"),
-    )
-    return per_group.select(
-        F.date_from_unix_date(
-            F.floor(F.unix_seconds("window.start") / 86400).cast("int")
-        ).alias("date"),
-        "stock_code",
-        "country",
-        "customer_id",
-        "total_transactions",
-        "total_quantity",
-        (F.col("cents").cast("decimal(19,0)") / F.lit(100).cast("decimal(3,0)"))
-        .cast("decimal(18,2)")
-        .alias("total_revenue"),
+        .withColumn("invoice_month", F.date_format("date", "yyyy-MM"))
     )
 
 
-def run_daily_sales(bronze: DataFrame, out: str, checkpoint: str, late: str = "1 day") -> None:
-    """Drain a bronze stream into daily rows under ``out``."""
-    query = (
-        stream_daily_sales(bronze, late)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def refresh_days(store: LayerStore, rows: DataFrame, batch: str) -> None:
+    """Take one batch of lines into bronze and rebuild the days of the months it touches.
+
+    Days are rebuilt from all their lines, so the end state does not depend on
+    how files fall into batches, late lines count, and no state is kept between
+    batches.
+    """
+    touched = landing.touched_months(landing.take_batch(store, rows, batch))
+    if touched:
+        lines = store.read(landing.BRONZE).where(in_partitions(touched, ["invoice_month"]))
+        store.overwrite_partitions(daily_sales(lines).select(*schemas.DAILY_SALES.names), DAILY)
+
+
+def stream_daily_sales(lines: DataFrame, store: LayerStore, checkpoint: str) -> None:
+    """Drain a stream of bronze lines into the daily sales of the store."""
+    landing.drain(lines, checkpoint, lambda rows, batch: refresh_days(store, rows, batch))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,45 +17,61 @@ from tillworks.sources import transactions as X
 from tillworks.sources.layers import LayerStore, in_partitions, write_bronze
 
 BRONZE = "bronze.raw_transactions"
-FILES_PER_MONTH = 32
+# Bytes of files that one micro-batch takes; a backlog beyond it comes in several.
+BYTES_PER_TRIGGER = 64 << 30
 
 
 def landing_lines(
-    spark: SparkSession, landing: str, fmt: str = "csv", schema: T.StructType | None = None
+    spark: SparkSession, landing: str, fmt: str = "csv", schema: T.StructType | None = None,
+    bytes_per_trigger: int = BYTES_PER_TRIGGER,
 ) -> DataFrame:
     """Stream of the files in a landing folder (or glob)."""
     reader = spark.readStream.schema(schema or schemas.SOURCE_FILE)
+    reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     if fmt == "csv":
         reader = reader.option("header", True)
     lines = reader.format(fmt).load(landing)
     return lines.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def _drain(writer) -> None:
-    """Take all files present, then stop."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's lasting id, kept in its checkpoint folder; a renewed checkpoint has another."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").head()[0])["id"]
 
 
-def stream_bronze(
-    lines: DataFrame, out: str, checkpoint: str, clean: Callable = X.clean_strict
-) -> None:
-    """Clean landed lines and append them to a Parquet folder.
+def drain(lines: DataFrame, checkpoint: str, take: Callable[[DataFrame, str], None]) -> None:
+    """Give all files present to ``take``, a micro-batch at a time, then stop.
 
-    The file sink commits exactly once and the checkpoint folder remembers the
-    files taken: a second run adds no rows.
+    A batch's name holds the stream's id, so batches of several streams never
+    meet under one name, while a replayed batch has its old one.
     """
-    rows = X.bronze_rows(clean(lines), batch="stream").drop("ingest_batch")
-    # a month's lines meet in FILES_PER_MONTH tasks: neither a file per task and
-    # month, nor one task for a month that holds most of the batch
-    spread = F.pmod(F.xxhash64("invoiceno", "stockcode"), F.lit(FILES_PER_MONTH))
-    rows = rows.repartition("invoice_month", spread)
-    _drain(
-        rows.writeStream.format("parquet")
-        .partitionBy("invoice_month")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        take(batch, f"{stream_id(batch.sparkSession, checkpoint)}-{batch_id}")
+
+    writer = lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def take_batch(store: LayerStore, rows: DataFrame, batch: str) -> DataFrame:
+    """One batch of cleaned lines into bronze; returns the rows that it holds there.
+
+    The batch has folders of its own, so a replay replaces it. Files that another
+    batch already brought, before a checkpoint was renewed, are left out.
+    """
+    fresh = X.bronze_rows(rows, batch)
+    if store.exists(BRONZE):
+        others = store.read(BRONZE).where((F.col("ingest_batch") != batch) & F.col("source_file").isNotNull())
+        fresh = fresh.join(others.select("source_file").distinct(), "source_file", "left_anti")
+    write_bronze(store, fresh.select(*schemas.BRONZE_TABLE.names))
+    return store.read(BRONZE).where(F.col("ingest_batch") == batch)
+
+
+def stream_bronze(
+    lines: DataFrame, store: LayerStore, checkpoint: str, clean: Callable = X.clean_strict
+) -> None:
+    """Clean landed lines and append them to bronze; a file counts once."""
+    drain(clean(lines), checkpoint, lambda rows, batch: take_batch(store, rows, batch))
 
 
 def arrivals(spark: SparkSession, landing: str, fmt: str = "csv") -> DataFrame:
@@ -76,25 +93,22 @@ def arrivals(spark: SparkSession, landing: str, fmt: str = "csv") -> DataFrame:
     )
 
 
+def touched_months(rows: DataFrame) -> list[Row]:
+    """Months of dated bronze rows: storage folders, bounded by the calendar."""
+    return rows.where(F.col("invoicedate").isNotNull()).select("invoice_month").distinct().collect()
+
+
 def refresh_batch(store: LayerStore, rows: DataFrame, batch: str) -> None:
     """Take one batch of cleaned lines through bronze, silver and the monthly mart.
 
-    Bronze keeps the batch in folders of its own, so a replayed batch replaces
-    itself. Only months the batch touches are recomputed, from all their lines;
-    new dates and products are added, product ids never change.
+    Only months the batch touches are recomputed, from all their lines; new dates
+    and products are added, product ids never change.
     """
-    write_bronze(store, X.bronze_rows(rows, batch))
-    bronze = store.read(BRONZE)
-    touched = (
-        bronze.where((F.col("ingest_batch") == batch) & F.col("invoicedate").isNotNull())
-        .select("invoice_month")
-        .distinct()
-        .collect()
-    )  # storage folders, bounded by the calendar
+    touched = touched_months(take_batch(store, rows, batch))
     if not touched:
         return
     months = [(int(r[0][:4]), int(r[0][5:])) for r in touched]
-    lines = bronze.where(in_partitions(touched, ["invoice_month"]))
+    lines = store.read(BRONZE).where(in_partitions(touched, ["invoice_month"]))
 
     # append what is new: a replayed batch finds nothing new
     known = store.read_or_empty("silver.dim_date")
@@ -118,10 +132,4 @@ def refresh_touched_months(
     store: LayerStore, lines: DataFrame, checkpoint: str, clean: Callable = X.clean_strict
 ) -> None:
     """Run ``refresh_batch`` for every micro-batch of landed files."""
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(store, batch, f"batch-{batch_id}")
-
-    _drain(
-        clean(lines).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    )
+    drain(clean(lines), checkpoint, lambda rows, batch: refresh_batch(store, rows, batch))
