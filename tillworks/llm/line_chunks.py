@@ -65,7 +65,8 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     wanted = stored(places.join(repeated, "h"), "repeated-chunks").groupBy("id", "same").agg(
         F.collect_set(F.struct("start", "lines", "h")).alias("cs"))
     # only texts with repeated hashes are read again, and only their repeated chunks leave this join
-    met = keyed.alias("a").join(wanted.alias("w"), F.col("a.id").eqNullSafe(F.col("w.id")) & (F.col("a.same") == F.col("w.same")))
+    # by a shuffle at any size: which documents repeat is no small table
+    met = keyed.alias("a").join(wanted.hint("merge").alias("w"), F.col("a.id").eqNullSafe(F.col("w.id")) & (F.col("a.same") == F.col("w.same")))
     told = stored(met.select("a.id", "a.same", F.explode(F.transform("cs", lambda c: F.struct(
         c["start"].alias("start"), c["lines"].alias("lines"), c["h"].alias("h"), _text_of(lines, c).alias("bytes")))).alias("c")).select(
         "id", "same", "c.*").distinct(), "chunk-texts")
@@ -90,7 +91,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spare = stored(removals(docs, id_col, text_col, **how), "spare-chunks").select(
         F.col("id").alias("__id"), F.col("same").alias("__same"), F.col("chunks").alias("__cut"))
     text = F.col(f"`{text_col}`")
-    joined = docs.join(spare, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__same")), "left")
+    joined = docs.join(spare.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__same")), "left")
     lines = F.split(text, "\n", -1)
     gone = F.flatten(F.transform("__cut", lambda c: F.sequence(c["start"], c["start"] + c["lines"] - 1)))
     kept = F.array_join(F.transform(
