@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tillworks.plans.workspace import fresh_folder
 
@@ -31,6 +30,20 @@ def in_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case, every other character as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_resident: dict = {}
+
+
+def resident(key: object, make: Callable[[], object]) -> object:
+    """The one large object (a model, a vocabulary) that a Python worker holds; another key replaces it."""
+    if key not in _resident:
+        vacate()
+        _resident[key] = make()
+    return _resident[key]
+
+
+def vacate() -> None:
+    """Give a worker's large object and free Arrow memory back before other work."""
+    import pyarrow as pa
+
+    _resident.clear()
+    pa.default_memory_pool().release_unused()

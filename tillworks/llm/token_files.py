@@ -33,14 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import in_batches, stored, table
+from tillworks.llm.common import in_batches, resident, stored, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK = 1 << 16
 SEGMENT_IDS = 1 << 18
 SEGMENT_ROWS = 16  # segments that travel to a Python worker at once
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000  # some 50 MB in a Python worker
 
 # The normaliser and splitter for which words can be encoded one by one.
 _WORD_WISE = {
@@ -71,7 +71,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -84,6 +84,13 @@ class Encoder:
             one.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.words = _Words(one)
 
+    @functools.cached_property
+    def whole(self):
+        """The file's tokenizer as it is; loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
@@ -92,14 +99,13 @@ class Encoder:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str | None) -> Encoder:
     """One per Python worker; None is the public vocabulary where the worker runs."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path(VOCABULARY)
-    return Encoder(path)
+    return resident(("tokens", path), lambda: Encoder(path))
 
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
