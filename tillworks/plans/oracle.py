@@ -272,6 +272,9 @@ FROM (SELECT *, sum(spend) OVER (PARTITION BY customer_id) AS all_spend,
 
 _PRICE = "(l_extendedprice - 2000)"
 
+# prices of which most lie within the limits
+_NEAR_PRICE = "((l_extendedprice - 2000 + 2000) % 10050 - 25)"
+
 _CLEAN_STRICT = f"""strict AS (
 SELECT {_INVOICE} AS invoiceno, p_type || '-' || p_brand AS stockcode,
        CASE WHEN l_discount <> 0.0 THEN p_name ELSE '{rules.STRICT_DESCRIPTION}' END AS description,
@@ -395,6 +398,10 @@ def _suite() -> str:
     }
     for mart, cols in marts.items():
         out += _nulls(mart, mart, cols)
+    out += [
+        f"SELECT '{t}.columns_match' AS check_name, CAST(0 AS BIGINT) AS failing_rows, TRUE AS passed"
+        for t in [b, d, p, f]
+    ]
     segments = ", ".join(f"'{s}'" for s in rules.SEGMENTS)
     out.append(
         _check("customer_lifetime_value.accepted_values:customer_segment",
@@ -514,7 +521,9 @@ SELECT date_id, {_d('date', 'date')}, {_n('day', 'day')}, day_name, {_n('day_of_
        is_weekend, is_holiday FROM dim_date"""
     out["dim_product"] = f"WITH {_BRONZE}, {_DIM_PRODUCT} SELECT {product_cols} FROM dim_product"
     # the added codes sort after the known ones, so ids continue in code order
-    out["dim_product_extended"] = out["dim_product"]
+    kept = "CASE WHEN stock_code < 'PROMO' THEN 'kept ' ELSE '' END || description AS description"
+    out["dim_product_extended"] = f"""WITH {_BRONZE}, {_DIM_PRODUCT}
+SELECT {_n("product_id", "product_id")}, stock_code, {kept}, category FROM dim_product"""
     out["product_category"] = bronze(
         f"""SELECT {_category('stockcode')} AS category, count(DISTINCT stockcode) AS products
 FROM bronze GROUP BY 1"""
@@ -700,6 +709,58 @@ WHERE NOT {_BAD_METADATA} AND NOT {_BAD_STATUS} AND year IS NOT NULL AND month I
 UNION ALL SELECT DISTINCT strftime(o_orderdate, '%Y-%m'), year(o_orderdate), month(o_orderdate),
        '{rules.COMPLETED}', '{{"recovered": true}}' FROM orders"""
 
+    out["read_transactions"] = f"""WITH {_CLEAN_STRICT.replace(_PRICE, _NEAR_PRICE)} SELECT * FROM strict"""
+    out["write_bronze_append"] = bronze(
+        f"""SELECT CASE WHEN quantity < 0 THEN 'returns' ELSE 'sales' END AS ingest_batch,
+       count(*) AS line_count, {_n('sum(quantity)', 'total_quantity')} FROM bronze GROUP BY 1"""
+    )
+    out["write_bronze_overwrite"] = bronze(
+        """SELECT 'early' AS ingest_batch, strftime(invoicedate, '%Y-%m') AS invoice_month, count(*) AS line_count
+FROM bronze WHERE year(invoicedate) <= 1998 GROUP BY 2"""
+    )
+    tables = ", ".join(f"('{n}')" for n in schemas.TABLES)
+    out["ensure_layers"] = silver(
+        f"""SELECT table_name, CASE table_name WHEN 'ops.processed_months' THEN (SELECT count(*) FROM months)
+       ELSE 0 END AS row_count FROM (VALUES {tables}) AS v(table_name)""",
+        _MONTHS,
+    )
+    out["write_table"] = out["monthly_sales_summary"]
+    out["gold_row_counts"] = silver(
+        """SELECT 'gold.fact_sales_monthly' AS table_name, count(DISTINCT (year, month)) AS row_count FROM fact
+UNION ALL SELECT 'gold.fact_product_performance', count(DISTINCT product_id) FROM fact
+UNION ALL SELECT 'gold.fact_country_sales', count(DISTINCT country) FROM fact
+UNION ALL SELECT 'gold.fact_sales_daily_enhanced', count(DISTINCT date_id) FROM fact"""
+    )
+    out["stage_checkpoints"] = f"""SELECT 'events' AS pipeline_name, 'run-1' AS run_id, event_type AS stage,
+       'rows' AS checkpoint_key, CAST(count(*) AS VARCHAR) AS checkpoint_value, '{rules.COMPLETED}' AS status
+FROM events GROUP BY event_type"""
+    out["recover_logs"] = """SELECT 'events' AS pipeline_name, CAST(user_id AS VARCHAR) AS run_id,
+       event_type AS level, count(*) AS log_count FROM events WHERE event_type <> 'error' GROUP BY user_id, event_type"""
+    out["processed_dates"] = f"""SELECT CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS date_value, '{rules.COMPLETED}' AS status FROM events
+UNION ALL SELECT CAST(max(CAST(ts AS DATE)) AS VARCHAR), '{rules.FAILED}' FROM events"""
+    out["reset_ledger"] = silver(
+        "SELECT 'before' AS table_name, count(*) AS row_count FROM months UNION ALL SELECT 'after', 0", _MONTHS
+    )
+    out["dry_run"] = silver(
+        f"SELECT {_n('year', 'year')}, {_n('month', 'month')} FROM months WHERE year = 1998", _MONTHS
+    )
+    out["pending_months_of_year"] = f"SELECT * FROM ({out['pending_months']}) WHERE year = 1998"
+    out["recompute_some_months"] = silver(
+        f"""SELECT year, month, CASE WHEN year = 1998 AND month BETWEEN 3 AND 5 THEN total_quantity ELSE -1 END
+       AS total_quantity, total_revenue FROM ({_monthly()})"""
+    )
+
+    def doubled(cols: str, source: str, condition: str) -> str:
+        quantity = _n(f"CASE WHEN {condition} THEN 2 ELSE 1 END * total_quantity", "total_quantity")
+        return silver(f"SELECT {cols}, {quantity}, total_revenue FROM ({source})")
+
+    out["upsert_products"] = doubled("product_id, stock_code", _PRODUCT_PERFORMANCE, "product_id % 3 = 0")
+    out["upsert_countries"] = doubled("country", _country_sales(), "country < 'G'")
+    out["upsert_days"] = doubled("date_id", _DAILY, "date_id >= 19980101")
+    out["customer_ids_rounded"] = bronze(
+        """SELECT coalesce(CAST(split_part(customerid, '.', 1) AS BIGINT) + 1, -1) AS customer_id, count(*) AS line_count
+FROM bronze GROUP BY 1"""
+    )
     out["stream_bronze"] = bronze(
         f"""SELECT strftime(invoicedate, '%Y-%m') AS invoice_month, count(*) AS line_count,
        {_n('sum(quantity)', 'total_quantity')}, {_m(revenue, 'total_revenue')} FROM bronze GROUP BY 1"""

@@ -7,6 +7,7 @@ times as ISO text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,10 @@ from tillworks.operators import ledger as L
 from tillworks.operators import merge, oplog, quality, silver
 from tillworks.operators import reports as R
 from tillworks.operators import sales_marts as SM
-from tillworks.plans import medallion, workspace
+from tillworks.plans import medallion, monthly, workspace
+from tillworks.sources import layers
 from tillworks.sources import transactions as X
-from tillworks.sources.layers import LayerStore
+from tillworks.sources.layers import LayerStore, write_bronze
 from tillworks.sources.testdata import bronze_lines, raw_lines, table
 from tillworks.streaming import daily as stream_daily
 from tillworks.streaming import landing
@@ -132,9 +134,10 @@ def dim_product(spark, sf_dir):
 
 @query
 def dim_product_extended(spark, sf_dir):
-    """The dimension of the codes before 'PROMO', then extended by the others."""
+    """The dimension of the codes before 'PROMO' with other descriptions, then extended by the others."""
     lines = bronze_lines(spark, sf_dir)
     known = silver.dim_product(lines.where(F.col("stockcode") < "PROMO"))
+    known = known.withColumn("description", F.concat(F.lit("kept "), "description"))
     return known.unionByName(silver.extend_dim_product(known, lines))
 
 
@@ -556,6 +559,194 @@ def ledger_repair(spark, sf_dir):
     return repaired.select("month_key", "year", "month", "status", "metadata")
 
 
+# --- files, stores and runs -------------------------------------------------
+
+
+def _fresh_store(spark, purpose: str) -> LayerStore:
+    return LayerStore(spark, workspace.fresh_folder(spark, purpose))
+
+
+@query
+def read_transactions(spark, sf_dir):
+    """Lines written as CSV and read back, most prices within the limits, cleaned strictly."""
+    folder = workspace.fresh_folder(spark, "csv")
+    lines = raw_lines(spark, sf_dir, defects=True).toDF(*schemas.SOURCE_FILE.names)
+    price = F.when(F.col("UnitPrice").isNotNull(), (F.col("UnitPrice") + 2000) % 10050 - 25)
+    lines.withColumn("UnitPrice", price).write.option("header", True).csv(folder)
+    return X.clean_strict(X.read_transactions(spark, folder)).drop("source_file")
+
+
+@query
+def write_bronze_append(spark, sf_dir):
+    """Two batches appended, the first of them twice."""
+    store, lines = _fresh_store(spark, "bronze-append"), workspace.bronze(spark, sf_dir)
+    returns, sales = lines.where("quantity < 0"), lines.where("quantity >= 0")
+    for rows, batch in [(returns, "returns"), (sales, "sales"), (returns, "returns")]:
+        write_bronze(store, X.bronze_rows(rows, batch))
+    return store.read(landing.BRONZE).groupBy("ingest_batch").agg(
+        F.count(F.lit(1)).alias("line_count"), C.count_sum("quantity").alias("total_quantity")
+    )
+
+
+@query
+def write_bronze_overwrite(spark, sf_dir):
+    """All lines, then only those until 1998 as a full refresh."""
+    store, lines = _fresh_store(spark, "bronze-overwrite"), workspace.bronze(spark, sf_dir)
+    write_bronze(store, X.bronze_rows(lines, "all"))
+    write_bronze(store, X.bronze_rows(lines.where(F.year("invoicedate") <= 1998), "early"), "overwrite")
+    return store.read(landing.BRONZE).groupBy("ingest_batch", "invoice_month").agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+
+
+@query
+def ensure_layers(spark, sf_dir):
+    """Rows of every catalog table after all months went through the ledger's states."""
+    fact = workspace.silver(spark, sf_dir)["fact_sales_daily"]
+    store = _fresh_store(spark, "layers")
+    store.ensure_layers()
+    for status in [rules.IN_PROGRESS, rules.FAILED, rules.IN_PROGRESS, rules.COMPLETED]:
+        monthly.mark(store, L.distinct_months(fact), status)
+    return R.layer_row_counts({n: spark.table(n) for n in schemas.TABLES}, ordered=False)
+
+
+@query
+def write_table(spark, sf_dir):
+    """The monthly summary as a managed table, read through the catalog."""
+    rows = SM.monthly_sales_summary(*_fact_dates(spark, sf_dir))
+    name = f"gold.monthly_summary_{uuid.uuid4().hex}"  # a warehouse may outlive its catalog
+    layers.write_table(rows, name)
+    return spark.table(name)
+
+
+@query
+def gold_row_counts(spark, sf_dir):
+    gold = workspace.gold(spark, sf_dir, AS_OF)
+    return R.layer_row_counts({f"gold.{n}": df for n, df in gold.items() if n.startswith("fact_")})
+
+
+@query
+def stage_checkpoints(spark, sf_dir):
+    """A stage per event type, the second run of which finds its rows counted."""
+    kinds = table(spark, sf_dir, "events").groupBy("event_type").count().collect()  # five types
+    store, name = _fresh_store(spark, "checkpoints"), monthly.CHECKPOINTS
+    for kind, n in sorted(tuple(k) for k in kinds * 2):
+        key = ("events", "run-1", kind, "rows")
+        if L.get_checkpoint(store.read_or_empty(name), key) == str(n):
+            continue  # the second time it is done already
+        store.replace(L.start_stage(store.read_or_empty(name), key), name)
+        store.replace(L.set_checkpoint(store.read(name), key, str(n)), name)
+    return store.read(name).select("pipeline_name", "run_id", "stage", "checkpoint_key", "checkpoint_value", "status")
+
+
+@query
+def recover_logs(spark, sf_dir):
+    """Events as fallback JSON lines, those of errors cut short, recovered twice."""
+    folder, store = workspace.fresh_folder(spark, "fallback"), _fresh_store(spark, "logs")
+    entry = F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), F.col("event_type").alias("level"),
+        F.col("event_id").cast("string").alias("message"), F.lit("events").alias("pipeline_name"),
+        F.col("user_id").cast("string").alias("run_id"),
+    ))
+    cut = F.when(F.col("event_type") == "error", F.expr("left(line, length(line) - 1)")).otherwise(F.col("line"))
+    lines = table(spark, sf_dir, "events").withColumn("line", entry).select(cut.alias("value"))
+    lines.write.text(folder)
+    for _ in range(2):
+        monthly.recover_logs(store, folder)
+    return oplog.logs_by_level(store.read(monthly.LOGS))
+
+
+@query
+def processed_dates(spark, sf_dir):
+    """First and last event day marked, the first one twice."""
+    first, last = table(spark, sf_dir, "events").agg(
+        F.min(F.to_date("ts")).cast("string"), F.max(F.to_date("ts")).cast("string")
+    ).head()
+    ledger = spark.createDataFrame([], schemas.PROCESSED_DATES)
+    for day, status in [(first, rules.IN_PROGRESS), (last, rules.FAILED), (first, rules.COMPLETED)]:
+        ledger = L.mark_date(ledger, day, status)
+    return ledger.select("date_value", "status")
+
+
+@query
+def reset_ledger(spark, sf_dir):
+    """Rows of the month ledger before and after its reset."""
+    store = _fresh_store(spark, "ledger")
+    monthly.mark(store, L.distinct_months(workspace.silver(spark, sf_dir)["fact_sales_daily"]), rules.COMPLETED)
+    before = store.read(monthly.MONTHS)
+    monthly.reset_ledger(store)
+    return R.layer_row_counts({"before": before, "after": store.read(monthly.MONTHS)})
+
+
+@query
+def dry_run(spark, sf_dir):
+    """Months of 1998 that a run would take; nothing is written."""
+    workspace.silver(spark, sf_dir)
+    store = workspace.store_for(spark, sf_dir)
+    months = monthly.refresh_months(store, year=1998, dry_run=True)  # calendar-bounded
+    if store.exists(monthly.MONTHS):
+        raise AssertionError("a dry run wrote the ledger")
+    return spark.createDataFrame(months, "year int, month int")
+
+
+@query
+def pending_months_of_year(spark, sf_dir):
+    months = L.distinct_months(_fact_dates(spark, sf_dir)[0])
+    return L.pending_months(months, _ledger(spark, sf_dir), year=1998)
+
+
+@query
+def recompute_some_months(spark, sf_dir):
+    """Spring of 1998 rebuilt in a table whose other months hold wrong sums."""
+    fact, dates = _fact_dates(spark, sf_dir)
+    store = _fresh_store(spark, "recompute")
+    wrong = SM.sales_monthly(fact, dates).withColumn("total_quantity", F.lit(-1).cast("bigint"))
+    store.replace(wrong, monthly.MONTHLY)
+    months = [(1998, m) for m in (3, 4, 5)]
+    store.upsert(L.recompute_months(fact, dates, months, False), monthly.MONTHLY, ["year", "month"])
+    return store.read(monthly.MONTHLY).select("year", "month", "total_quantity", "total_revenue")
+
+
+def _doubled(rows, name: str, condition: str, keys: list[str], spark):
+    """Stored rows of which those under a condition are upserted with twice the quantity."""
+    store = _fresh_store(spark, "upsert")
+    store.replace(rows, name)
+    store.upsert(rows.where(condition).withColumn("total_quantity", F.col("total_quantity") * 2), name, keys)
+    return store.read(name)
+
+
+@query
+def upsert_products(spark, sf_dir):
+    rows = workspace.gold(spark, sf_dir, AS_OF)["fact_product_performance"]
+    rows = rows.select("product_id", "stock_code", "total_quantity", "total_revenue")
+    return _doubled(rows, "gold.fact_product_performance", "product_id % 3 = 0", ["product_id"], spark)
+
+
+@query
+def upsert_countries(spark, sf_dir):
+    rows = workspace.gold(spark, sf_dir, AS_OF)["fact_country_sales"]
+    rows = rows.select("country", "total_quantity", "total_revenue")
+    return _doubled(rows, "gold.fact_country_sales", "country < 'G'", ["country"], spark)
+
+
+@query
+def upsert_days(spark, sf_dir):
+    rows = workspace.gold(spark, sf_dir, AS_OF)["fact_sales_daily_enhanced"]
+    rows = rows.select("date_id", "total_quantity", "total_revenue")
+    return _doubled(rows, "gold.fact_sales_daily_enhanced", "date_id >= 19980101", ["date_id"], spark)
+
+
+@query
+def customer_ids_rounded(spark, sf_dir):
+    """Lines per customer id with half a number added, rounded as the numeric reading does."""
+    text = F.concat(F.regexp_replace("customerid", "[.]0$", ""), F.lit(".5"))
+    return (
+        bronze_lines(spark, sf_dir)
+        .groupBy(C.parse_customer_id(text, numeric=True).alias("customer_id"))
+        .agg(F.count(F.lit(1)).alias("line_count"))
+    )
+
+
 # --- streams ----------------------------------------------------------------
 
 
