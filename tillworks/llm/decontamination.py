@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.common import in_batches, stored, table
+from tillworks.llm.common import in_batches, stored, table, vacate
 
 WINDOW = 10
 SEGMENT_WORDS = 1 << 20
@@ -86,6 +86,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        vacate()
         arrow, part, made = to_arrow_schema(schema), TaskContext.get().partitionId(), 0
         ids, sizes, numbers, terms, held = [], [], [], _Terms(), 0
         for batch in batches:

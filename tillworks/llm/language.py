@@ -19,8 +19,8 @@ sample alone.
 
 from __future__ import annotations
 
-import functools
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.common import in_batches, table
+from tillworks.llm.common import in_batches, resident, table
 
 SAMPLE_DOCS = 96
 SAMPLE_CHARS = 1000
@@ -62,32 +62,33 @@ def sample(docs: DataFrame) -> tuple[tuple[str, str], ...]:
 
 
 def _automaton(symbols: list[int], size: int) -> np.ndarray:
-    """Dense transitions of the suffix automaton, -1 where there is none."""
-    step, link, length, last = [[-1] * size], [-1], [0], 0
+    """Dense transitions of the suffix automaton, -1 where there is none; rows lie flat in one array."""
+    row = array("i", [-1]) * size
+    step, link, length, last = row[:], [-1], [0], 0
     for c in symbols:
-        new = len(step)
-        step.append([-1] * size)
+        new = len(link)
+        step.extend(row)
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and step[p][c] < 0:
-            step[p][c] = new
+        while p >= 0 and step[p * size + c] < 0:
+            step[p * size + c] = new
             p = link[p]
         if p >= 0:
-            q = step[p][c]
+            q = step[p * size + c]
             if length[q] == length[p] + 1:
                 link[new] = q
             else:
-                copy = len(step)
-                step.append(step[q][:])
+                copy = len(link)
+                step.extend(step[q * size : (q + 1) * size])
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and step[p][c] == q:
-                    step[p][c] = copy
+                while p >= 0 and step[p * size + c] == q:
+                    step[p * size + c] = copy
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    return np.array(step, np.int32)
+    return np.frombuffer(step, np.int32).reshape(-1, size)
 
 
 class Model:
@@ -165,10 +166,9 @@ class Model:
         return labels, scores
 
 
-@functools.lru_cache(maxsize=2)
 def model(labelled: tuple[tuple[str, str], ...]) -> Model:
     """One per Python worker."""
-    return Model(labelled)
+    return resident(("language", labelled), lambda: Model(labelled))
 
 
 def predicted_rows(docs: DataFrame, labelled: tuple[tuple[str, str], ...]) -> DataFrame:

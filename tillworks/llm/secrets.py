@@ -15,7 +15,6 @@ id and text columns are read.
 from __future__ import annotations
 
 import base64
-import functools
 import re
 from collections.abc import Iterator
 
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import in_batches, table
+from tillworks.llm.common import in_batches, resident, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LEAST = 20
@@ -43,13 +42,18 @@ _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
 
 
-@functools.lru_cache(maxsize=2)
 def encoding(path: str | None):
     """One per Python worker; None is the public vocabulary where the worker runs."""
     import public_tokenizers
+
+    return resident(("ranks", path), lambda: _load(path or public_tokenizers.path(VOCABULARY)))
+
+
+def _load(path: str):
+    import public_tokenizers
     import tiktoken
 
-    with open(path or public_tokenizers.path(VOCABULARY), "rb") as f:
+    with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import in_batches, stored, table
+from tillworks.llm.common import in_batches, stored, table, vacate
 from tillworks.llm.components import roots
 
 SHINGLE_WORDS = 4
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, same, fp): a hash of the text, and the fingerprint, both as signed BIGINT."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(2)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["id", "same", "fp"])
@@ -152,6 +153,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segment: int = SEGMENT_
     heavy = stored(met.groupBy("point").agg(F.count("*").alias("n")).where(F.col("n") > point_rows), "heavy-points")
 
     def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         kept_p, kept_f = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             p = np.concatenate([kept_p, batch.column(0).to_numpy()])
