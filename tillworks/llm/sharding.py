@@ -30,8 +30,10 @@ def _grants(flows: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[in
     for j in range(len(room)):
         waiting = {i: n - granted[i, j] for (i, to), n in flows.items() if to == j and n > granted[i, j]}
         total = sum(waiting.values())
-        for i, n in waiting.items():
-            granted[i, j] += n if total <= room[j] else room[j] * n // total
+        seen = 0
+        for i, n in sorted(waiting.items()):  # shares of the running sum, so that all room is granted
+            granted[i, j] += n if total <= room[j] else room[j] * (seen + n) // total - room[j] * seen // total
+            seen += n
     return granted
 
 
@@ -102,6 +104,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     n = rows.count()
     quotas = [n // shards + (s < n % shards) for s in range(shards)]
     hubs = rows.groupBy("same").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("same", "hub")
+    hubs = stored(hubs, "shard-hubs")  # joined on an exchange of its own, so that a hot group's rows can be split
     linked = propagate(rows.join(hubs, "same").select("node", "hub"), quotas, rounds)
     held = dict(linked.groupBy("shard").count().collect())  # a row per shard
     alone = with_position(rows.select("node").join(linked, "node", "left_anti"), ["node"], "turn", start=0)
