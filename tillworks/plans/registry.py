@@ -662,10 +662,10 @@ def processed_dates(spark, sf_dir):
     first, last = table(spark, sf_dir, "events").agg(
         F.min(F.to_date("ts")).cast("string"), F.max(F.to_date("ts")).cast("string")
     ).head()
-    ledger = spark.createDataFrame([], schemas.PROCESSED_DATES)
+    store, name = _fresh_store(spark, "dates"), "ops.processed_dates"
     for day, status in [(first, rules.IN_PROGRESS), (last, rules.FAILED), (first, rules.COMPLETED)]:
-        ledger = L.mark_date(ledger, day, status)
-    return ledger.select("date_value", "status")
+        store.replace(L.mark_date(store.read_or_empty(name), day, status), name)
+    return store.read(name).select("date_value", "status")
 
 
 @query
