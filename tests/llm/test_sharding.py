@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -72,3 +73,31 @@ def test_several_hubs_a_node(spark):
 def test_grants():
     granted = H._grants({(0, 1): 10, (1, 0): 4, (2, 1): 6}, [0, 5, 0])
     assert granted[0, 1] - 4 + granted[2, 1] <= 5 and granted[1, 0] == 4
+
+
+def _split(spark, texts):
+    """Shards of each text with the rounds that the query runs, texts laid over the ids at random."""
+    ids = random.Random(7).sample(range(len(texts)), len(texts))
+    docs = documents(spark, [(i, t, "en", "a") for i, t in zip(ids, texts)])
+    rows = list(zip(ids, texts))
+    return laws(values(H.shard_documents(docs), *COLUMNS), rows)
+
+
+def test_fully_linked_tables_are_joined(spark):
+    """Without unlinked rows all groups but those at the edges of shards come together."""
+    for size in (2, 4):
+        where = _split(spark, [f"group {i // size:04}" for i in range(960)])
+        assert len(where) == 960 // size and sum(len(s) > 1 for s in where.values()) <= 15
+
+
+def test_half_in_one_text_and_pairs(spark):
+    """The hot text fills eight shards of sixteen whole, the pairs the others."""
+    where = _split(spark, ["hot"] * 480 + [f"pair {i // 2:04}" for i in range(480)])
+    hot = where.pop((4, zlib.crc32(b"hot")))
+    assert sum(n * (n - 1) // 2 for n in hot.values()) >= 0.9 * 8 * 60 * 59 // 2
+    assert sum(len(s) > 1 for s in where.values()) <= 15
+
+
+def test_grants_go_round():
+    granted = H._grants({(0, 1): 3, (1, 2): 4, (2, 0): 2, (3, 0): 5}, [0, 0, 1, 0])
+    assert granted == {(0, 1): 3, (1, 2): 3, (2, 0): 2, (3, 0): 1}
