@@ -62,3 +62,12 @@ def test_run(spark):
     ends = sorted((r["start"], r["start"] + r["n_tokens"]) for r in got.collect())
     assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
     assert decontamination.WINDOW == 10
+
+
+def test_contaminated_rows_of_null_and_repeated_ids(spark):
+    """Only the rows with the benchmark's words go, not those that share their id."""
+    leak = table(spark, SF, "benchmark").where("item_id is not null and size(split(text, ' ')) > 12").first()["text"]
+    docs = documents(spark, [(None, leak, "en", "a"), (None, "clean text", "en", "a"), (None, None, "en", "a"),
+                             (1, f"so {leak}", "en", "a"), (1, "other clean text", "en", "a"), (2, leak, "en", "b")])
+    got = P.drop_contaminated(spark, docs, SF)
+    assert values(got, "doc_id", "text") == sorted([(None, "clean text"), (None, None), (1, "other clean text")], key=repr)
