@@ -13,9 +13,9 @@ from tillworks.llm.common import stored, table
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any letter, for which no language can be told."""
-    labelled = language.sample(docs)
-    known = language.predicted_rows(docs, labelled).where(F.col("__lang_pred") != language.UNKNOWN)
+    """Drops documents without any letter, for which no language can be told; without labels all others stay, too."""
+    labelled = language.sample(docs) or (("any", "a"),)
+    known = language.predicted_rows(docs, labelled).where("__score > 0")  # 0 is for texts without letters alone
     return known.select([f"`{c}`" for c in docs.columns])
 
 

@@ -71,3 +71,10 @@ def test_contaminated_rows_of_null_and_repeated_ids(spark):
                              (1, f"so {leak}", "en", "a"), (1, "other clean text", "en", "a"), (2, leak, "en", "b")])
     got = P.drop_contaminated(spark, docs, SF)
     assert values(got, "doc_id", "text") == sorted([(None, "clean text"), (None, None), (1, "other clean text")], key=repr)
+
+
+def test_language_stage_without_labels(spark):
+    """Nothing to learn from: all texts with letters stay; a label named as the unknown one is a label."""
+    for lang in (None, "und"):
+        docs = documents(spark, [(1, "clean text", lang, "a"), (2, None, lang, "a"), (3, "12 3!", lang, "a"), (None, "\u6f22", lang, "a"), (5, "", lang, "a")])
+        assert values(P.keep_known_languages(spark, docs, SF), "doc_id") == sorted([(1,), (None,)], key=repr)
