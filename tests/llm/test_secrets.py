@@ -65,3 +65,29 @@ def test_spans_are_joined_by_start(spark):
 
 def test_empty(spark):
     assert S.digest(S.find(documents(spark).where("doc_id > 99"))).count() == 0
+
+
+def test_random_strings_of_one_case_short_or_behind_words():
+    import random
+    import string
+
+    draw = random.Random(5)
+
+    def found(alphabet, n, before="", after=""):
+        hits = 0
+        for _ in range(200):
+            secret = "".join(draw.choice(alphabet) for _ in range(n))
+            spans = S.random_spans(f"see {before}{secret}{after} end")
+            a = 4 + len(before)
+            hits += sum(max(0, min(e, a + n) - max(s, a)) for s, _, e, _ in spans) >= n * 0.6
+        return hits
+
+    assert found(string.ascii_lowercase, 32) >= 196 and found(string.ascii_uppercase, 32) >= 196
+    mixed = string.ascii_letters + string.digits
+    for before in ("config/production/database/credentials/", "services/integrations/incoming/webhooks/"):
+        assert found(mixed, 24, before) >= 196 and found(mixed + "+/", 32, before) >= 190, before
+    assert found(mixed, 24, "", "/settings/production/configuration/database") >= 196
+    assert found(mixed, 16) >= 196 and found(string.ascii_lowercase, 16) >= 160
+    for clean in ("users/123e4567-e89b-12d3-a456-426614174000/profile", "blobs/d41d8cd98f00b204e9800998ecf8427e/download", "ERSCHSCHBERBERTZ",
+                  "services/integrations/incoming/webhooks/settings_2024-12-31", "internationalisation/AbstractConfigurationFactory"):
+        assert S.random_spans(clean) == [], clean

@@ -4,8 +4,11 @@ Pattern kinds are found in whole texts, leftmost and without overlap within a ki
 separator, a value of 12 or more characters), ``access`` (AKIA and more, 18 or more characters) and ``hex`` (16 or
 more lower-case digits). The method adds the kind ``random``: unbroken strings that a tiktoken vocabulary needs
 many tokens for, since its merges were learned from words and code. A string counts if it has ``LEAST`` characters
-or more, mixes letters with digits or often changes case, and has fewer than ``RATIO`` characters a token. Known digests (hexadecimal strings
-of the usual lengths), UUIDs and identifiers (words of one case and numbers, joined by _ - + /) are left out.
+or more, a letter among them, and fewer than ``RATIO`` characters a token (``WORD_RATIO`` for words of one case below
+``WORD`` characters, where rare words come near). If a string as a whole doesn't count, its parts between _ - + / are
+tested, and then windows of ``WIDTH`` characters by ``WINDOW_RATIO``, so that words around a secret don't hide it. Known
+digests (hexadecimal strings of the usual lengths), UUIDs and identifiers (words of one case and numbers, joined by
+_ - + /) are left out.
 
 Spans are code points, end exclusive. Defined results: a null or empty text has no spans and the checksum of the
 empty string; null ids and repeated rows are rows like any other; an empty table gives an empty result. Only the
@@ -25,8 +28,13 @@ from pyspark.sql import functions as F
 from tillworks.llm.common import in_batches, resident, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LEAST = 20
+LEAST = 16
 RATIO = 2.2
+WORD = 20
+WORD_RATIO = 2.0
+WIDTH = 24
+STEP = 4
+WINDOW_RATIO = 1.8
 PIECE = 512  # characters that are encoded at once, so that a string's cost grows with its length
 KINDS = ("assign", "access", "hex", "random")
 
@@ -36,6 +44,7 @@ _KEYS = re.compile(r"pass(?:word|wd)|secret|token|api_?key", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _STRING = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST)
+_LONG_PART = re.compile(r"[A-Za-z0-9]{%d,}" % LEAST)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
@@ -88,12 +97,43 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
+def is_random(string: str, path: str | None = None, ratio: float = RATIO) -> bool:
+    if is_known(string) or not any(c.isalpha() for c in string):
+        return False
+    short_word = len(string) < WORD and not is_mixed(string)
+    return characters_per_token(string, path) < (min(ratio, WORD_RATIO) if short_word else ratio)
+
+
+def _unmarked(string: str) -> str:
+    """UUIDs and digests that are parts of the string are blanked out."""
+    string = _UUID.sub(lambda m: "-" * len(m[0]), string)
+    return _LONG_PART.sub(lambda m: "-" * len(m[0]) if is_known(m[0]) else m[0], string)
+
+
+def _inside(string: str, path: str | None, ratio: float) -> list[tuple[int, int]]:
+    """Stretches of a string that are random although the whole isn't: parts, then windows of the rest that are joined."""
+    parts = [m.span() for m in _LONG_PART.finditer(string) if is_random(m[0], path, ratio)]
+    for a, e in parts:
+        string = string[:a] + "-" * (e - a) + string[e:]
+    out: list[tuple[int, int]] = []
+    for k in range(0, max(0, len(string) - WIDTH + STEP), STEP):
+        a = min(k, len(string) - WIDTH)
+        if a >= 0 and is_random(string[a : a + WIDTH], path, min(ratio, WINDOW_RATIO)):
+            if out and a <= out[-1][1]:
+                out[-1] = out[-1][0], a + WIDTH
+            else:
+                out.append((a, a + WIDTH))
+    return parts + out
+
+
 def random_spans(text: str, path: str | None = None, ratio: float = RATIO) -> list[tuple[int, int, int, str]]:
     out = []
     for m in _STRING.finditer(text):
-        s = m[0]
-        if is_mixed(s) and not is_known(s) and characters_per_token(s, path) < ratio:
+        s = _unmarked(m[0])
+        if s == m[0] and is_random(s, path, ratio):
             out.append((m.start(), 3, m.end(), "random"))
+        else:
+            out += [(m.start() + a, 3, m.start() + e, "random") for a, e in _inside(s, path, ratio)]
     return out
 
 
