@@ -59,3 +59,17 @@ def test_expected_copies(spark):
         mine = [r for r in rows if r["source"] == source]
         assert sum(r["copies"] * r["size"] for r in mine) == pytest.approx(mine[0]["target"], abs=5)
         assert {r["copies"] for r in mine} <= {0, 1, 2}
+
+
+@pytest.mark.parametrize("long, short, n", [(20_000, 150, 500), (50_000, 60, 3000)])
+def test_one_long_document(spark, long, short, n):
+    """What a long document misses is made up by the short ones of its source."""
+    texts = [("w " * long, "a")] + [("w " * (short - 40 + i * 37 % 81), "a") for i in range(n)] + [("w " * 500, "b")] * 90
+    docs = documents(spark, [(i, t, "en", s) for i, (t, s) in enumerate(texts)])
+    rows = [r for r in M.copies(docs, share=0.5).collect() if r["source"] == "a"]
+    assert abs(sum(r["copies"] * r["size"] for r in rows) - rows[0]["target"]) <= short
+
+
+def test_passes():
+    assert M._passes({5: 3000.0, 6: 40000.0, 7: 30000.0, 14: 20000.0}, 0.5) == {5: 0, 6: 1, 7: 1, 14: 1 + 1}
+    assert M._passes({3: 80.0}, 0.5) == {3: 0} and M._passes({}, 0.5) == {}

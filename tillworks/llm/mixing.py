@@ -4,9 +4,11 @@ Every source gets a target number of words; a document of the source is due targ
 the fraction is rounded. Two documents with fractions are paired and words move between them, at random and fair
 in the mean, until one of them has a whole copy or none: their words together stay the same. The other one goes on
 to the next pair. Runs of ``FAN`` documents are folded this way side by side, what each run leaves over is folded
-again, and so up a tree whose levels are stored tables, until one document per source is left; it is rounded to
-the nearer side. So a source misses its target by half of one document at most; units are folded from the largest
-on. ``DRAWS`` trees are drawn independently and each source keeps the one that misses its target least.
+again, and so up a tree whose levels are stored tables, until one document per source is left. Long documents have
+trees of their own that come first: their last one is rounded at random, and what that misses is shared out over
+the shorter documents, whose fractions are set anew. The last document of the shortest is rounded to the nearer
+side, so a source misses its target by half of one of its short documents, if those have words enough to make up
+for the long ones. ``DRAWS`` trees are drawn independently and each source keeps the one that misses its target least.
 
 Defined results: a null text has no words; the null source is a source, last in order; rows that repeat an id,
 source and text are one unit, each taken as often as the others; a source without words has target 0 and its
@@ -16,11 +18,13 @@ and source columns are read.
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import stored, table
-from tillworks.operators.ranking import first_per_key, with_position
+from tillworks.operators.ranking import with_position
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -74,6 +78,34 @@ def _folded(units: DataFrame, width: int) -> DataFrame:
     return runs.select("src", "draw", "run", F.expr(f"aggregate(xs, {start}, {step})").alias("f")).select("src", "draw", "run", "f.x", "f.taken")
 
 
+def _passes(words: dict[int, float], part: float) -> dict[int, int]:
+    """The pass, counted from the shortest, of each class of lengths (powers of two) of a source.
+
+    A pass takes in the classes whose largest document the shorter passes can make up for; the first one all that
+    it needs to make up for a document of the next class.
+    """
+    slack = min(part, 1 - part)
+    out, g, below, seen = {}, 0, 0.0, 0.0
+    for c in sorted(words):
+        longest = 2.0 ** (c + 1)
+        if g == 0 and seen * slack >= longest or g > 0 and below * slack < longest and seen > below:
+            g, below = g + 1, seen
+        out[c] = g
+        seen += words[c]
+    return out
+
+
+def _rounded(m: float, s: float, due: float, rest: float, last: bool, seed: str) -> bool:
+    """Whether the open unit is taken: at random if the rest can make up for both sides, else what it misses less."""
+    def lack(after: float) -> float:
+        return max(0.0, -after, after - rest)
+
+    take, leave = lack(due + m - s), lack(due + m)
+    if last or abs(take - leave) > 1e-6:
+        return m * 2 >= s if last else take < leave
+    return random.Random(seed).random() * s < m
+
+
 def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(doc_id, source, same, n, size, source_size, target, copies), a row per unit.
 
@@ -93,19 +125,44 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = S
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     words = (F.col("size") * F.col("n")).cast("double")
     units = units.withColumn("whole", F.floor(ratio).cast("int")).withColumn("part", ratio - F.floor(ratio))
-    level = units.where((words > 0) & (F.col("part") > 0)).select(
-        "src", F.explode(F.array(*map(F.lit, range(DRAWS)))).alias("draw"), F.col("node").alias("at"),
-        F.struct("node", words.alias("s"), (words * F.col("part")).alias("m")).alias("x"))
-    levels, width = [], 1
-    while width < max(total, 2):
-        width *= FAN
-        level = stored(_folded(level, width), "mix-level")
-        levels.append(level.select("src", "draw", F.explode("taken").alias("node")))
-        level = level.select("src", "draw", (F.col("run") * width).alias("at"), "x")
-    last = level.select("src", "draw", F.least(F.col("x.m"), F.col("x.s") - F.col("x.m")).alias("miss"))
-    kept = first_per_key(last, ["src"], ["miss", "draw"]).select("src", "draw").collect()  # a row per source
-    chosen = spark.createDataFrame([tuple(r) for r in kept], "src int, draw int")
-    more = level.where("x.m * 2 >= x.s").select("src", "draw", "x.node")
+    parts = {i: due[s] / sizes[s] - int(due[s] / sizes[s]) if sizes[s] else 0.0 for i, s in enumerate(due)}
+    units = units.withColumn("class", F.when(words > 0, F.length(F.bin(words.cast("bigint"))) - 1))
+    held: dict[int, dict[int, float]] = {}
+    for i, c, n in units.where("class is not null").groupBy("src", "class").agg(F.sum(words)).collect():  # 64 rows a source at most
+        held.setdefault(i, {})[c] = n
+    passes = {(i, c): g for i, w in held.items() if parts[i] > 0 for c, g in _passes(w, parts[i]).items()}
+    classed = spark.createDataFrame([(*k, g) for k, g in passes.items()], "src int, class int, pass int")
+    split = stored(units.join(F.broadcast(classed), ["src", "class"]).select("src", "node", words.alias("s"), "pass"), "mix-classes")
+    left = {(i, k): parts[i] * sum(held[i].values()) for i, _ in passes for k in range(DRAWS)}  # words due
+    rest = {i: sum(held[i].values()) for i, _ in passes}
+    levels, opened = [], []
+    for g in range(max(passes.values(), default=-1), -1, -1):
+        now = {i: sum(n for c, n in held[i].items() if passes[i, c] == g) for i in rest}
+        share = {(i, k): min(1.0, max(0.0, d / rest[i])) for (i, k), d in left.items() if now[i]}
+        shares = spark.createDataFrame([(*k, f) for k, f in share.items()], "src int, draw int, f double")  # draws a source
+        mine = split.where(F.col("pass") == g).join(F.broadcast(shares), "src")
+        levels.append(mine.where("f >= 1").select("src", "draw", "node"))
+        level = mine.where("f > 0 and f < 1").select(
+            "src", "draw", F.col("node").alias("at"), F.struct("node", "s", (F.col("s") * F.col("f")).alias("m")).alias("x"))
+        width = 1
+        while width < max(total, 2):
+            width *= FAN
+            level = stored(_folded(level, width), "mix-level")
+            levels.append(level.select("src", "draw", F.explode("taken").alias("node")))
+            level = level.select("src", "draw", (F.col("run") * width).alias("at"), "x")
+        for i in rest:
+            rest[i] -= now[i]
+        for i, k in share:
+            left[i, k] -= share[i, k] * now[i]
+        for i, k, x in level.select("src", "draw", "x").collect():  # draws a source
+            if x is not None:
+                taken = _rounded(x.m, x.s, left[i, k], rest[i], g == 0, f"{SEED} {i} {k} {g}")
+                left[i, k] += x.m - x.s * taken
+                if taken:
+                    opened.append((i, k, x.node))
+    chosen = spark.createDataFrame(
+        [(i, min(range(DRAWS), key=lambda k: (round(abs(left[i, k]), 6), k))) for i in rest], "src int, draw int")
+    more = spark.createDataFrame(opened, "src int, draw int, node bigint")
     for part in levels:
         more = more.union(part)
     lone = units.where((F.col("size") == 0) & (F.expr(_DRAW % ("0", "node", "size")) < F.col("part"))).select("node")
