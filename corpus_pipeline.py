@@ -32,9 +32,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a window of a benchmark item occurs."""
+    """Drops documents in which a window of a benchmark item occurs, be its id known or not."""
     named = docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("same")).alias("doc_id"), "text")
-    hit = decontamination.find(decontamination.build_index(named), table(spark, sf_dir, "benchmark")).where(F.size("hits") > 0)
+    items = table(spark, sf_dir, "benchmark").select(F.lit("item").alias("item_id"), "text")  # which item it was doesn't matter
+    hit = decontamination.find(decontamination.build_index(named), items).where(F.size("hits") > 0)
     hit = hit.select(F.col("doc_id.id").alias("__hit"), F.col("doc_id.same").alias("__same")).distinct()
     same_row = F.col("doc_id").eqNullSafe(F.col("__hit")) & (F.xxhash64("text") == F.col("__same"))
     return docs.join(hit, same_row, "left_anti").select([f"`{c}`" for c in docs.columns])

@@ -78,3 +78,10 @@ def test_language_stage_without_labels(spark):
     for lang in (None, "und"):
         docs = documents(spark, [(1, "clean text", lang, "a"), (2, None, lang, "a"), (3, "12 3!", lang, "a"), (None, "\u6f22", lang, "a"), (5, "", lang, "a")])
         assert values(P.keep_known_languages(spark, docs, SF), "doc_id") == sorted([(1,), (None,)], key=repr)
+
+
+def test_contaminated_by_an_item_without_id(spark, tmp_path):
+    leak = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(None, leak), (1, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(spark, [(1, f"so {leak}", "en", "a"), (2, "clean text", "en", "a")])
+    assert values(P.drop_contaminated(spark, docs, str(tmp_path)), "doc_id") == [(2,)]
