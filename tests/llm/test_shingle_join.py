@@ -1,0 +1,144 @@
+import re
+
+import numpy as np
+import pytest
+from oracle_check import compare, connect
+from pyspark.sql import functions as F
+from rows import SF, documents, values
+
+from tillworks.llm import shingle_join as J
+from tillworks.llm.common import table
+
+
+def brute(rows, percent=90, words=3):
+    """rows: (doc_id, text); (doc_id, n_shingles, component_id), sorted."""
+    sets = []
+    for _, t in rows:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        w = re.findall(r"[^\x20\x09-\x0D]+", low)
+        k = min(words, len(w))
+        sets.append(frozenset(" ".join(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    groups = {}
+    for i, (doc, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(doc)
+    least = {g: min((d for d in ds if d is not None), default=None) for g, ds in groups.items()}
+    return sorted(((doc, len(s), least[find(i)]) for i, ((doc, _), s) in enumerate(zip(rows, sets))), key=repr)
+
+
+def op(docs, **kw):
+    return values(J.join(docs, **kw), "id", "n_shingles", "component_id")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Texts of 1 to 3,000 words in families of edited copies, chains among them."""
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    out = []
+    for size in (1, 2, 3, 9, 11, 12, 14, 21, 22, 30, 45, 60, 80, 110, 160, 250, 400, 700, 1200, 3000):
+        for _ in range(2):
+            first = list(rng.choice(vocabulary, size))
+            out.append(first)
+            for k in range(9):
+                text = list(out[-1]) if k % 3 == 0 else list(first)
+                for _ in range(int(rng.integers(0, max(2, size // 60 + 2)))):
+                    at = int(rng.integers(0, len(text)))
+                    kind = rng.integers(3)
+                    if kind == 0:
+                        text[at] = str(rng.choice(vocabulary))
+                    elif kind == 1:
+                        text.insert(at, str(rng.choice(vocabulary)))
+                    elif len(text) > 1:
+                        del text[at]
+                out.append(text)
+    return [(i, " ".join(t)) for i, t in enumerate(out)]
+
+
+@pytest.mark.parametrize("percent,box,meeting", [(90, 1 << 14, 1024), (90, 4, 4), (75, 16, 6)])
+def test_against_brute_force(spark, rows, monkeypatch, percent, box, meeting):
+    monkeypatch.setattr(J.meetings, "__defaults__", (box,))
+    monkeypatch.setattr(J.candidates, "__defaults__", (meeting,))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute(rows, percent)
+    assert len({w[2] for w in want}) < len(want) - 40  # there is something to find
+    assert op(docs, percent=percent) == want
+
+
+def test_odd_rows(spark):
+    docs = documents(spark)
+    assert op(docs) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_table(spark):
+    rows = [tuple(r) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
+    assert values(J.op12_shingle_join(spark, SF), "doc_id", "n_shingles", "component_id") == brute(rows)
+
+
+def test_empty(spark):
+    assert op(spark.createDataFrame([], "doc_id bigint, text string")) == []
+
+
+def test_large_group_is_not_spelled_out(spark, monkeypatch):
+    """Copies that differ in one place each: found by few candidates, in chunks."""
+    monkeypatch.setattr(J.candidates, "__defaults__", (64,))
+    base = [f"v{i}" for i in range(300)]
+    rows = [(k, " ".join([*base[:k], f"x{k}", *base[k + 1 :]])) for k in range(300)]
+    taken = []
+    plain = J.candidates
+    monkeypatch.setattr(J, "candidates", lambda *a: taken.append(plain(*a)) or taken[-1])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r[2] for r in op(docs)} == {0}
+    assert sum(t.count() for t in taken) < 300 * 60  # of 44,850 pairs
+
+
+@pytest.mark.parametrize("percent", [50, 75, 90, 99])
+def test_bands_hold_every_link(percent):
+    """Two sets at the least similarity differ by one at most in some band of a class that both are in."""
+    classes, rng = J.Classes(percent), np.random.default_rng(percent)
+    for _ in range(60):
+        a = int(rng.integers(1, 900))
+        b = a + int(rng.integers(0, a * (100 - percent) // percent + 1))
+        shared = -(-percent * (a + b) // (100 + percent))
+        if shared > a:
+            continue
+        pool = rng.integers(0, 2**63, a + b, dtype=np.uint64)
+        x, y = np.unique(pool[:a]), np.unique(np.concatenate([pool[:shared], pool[a : a + b - shared]]))
+        if len(x) == len(y) == shared:
+            continue
+        met = []
+        tx, vx = J.band_vectors(x, classes)
+        ty, vy = J.band_vectors(y, classes)
+        for t in set(tx.tolist()) & set(ty.tolist()):
+            p, q = (J.digits(v[k == t])[0].astype(int) for k, v in ((tx, vx), (ty, vy)))
+            met.append(np.abs(p - q).sum())
+        assert min(met, default=9) <= 1
+
+
+def test_packed_tree():
+    rng = np.random.default_rng(4)
+    rows = rng.choice(4, (3000, J.DIMENSIONS), p=[0.9, 0.07, 0.02, 0.01]).astype(np.uint64)
+    vectors = np.unique(np.bitwise_or.reduce(rows << (np.arange(J.DIMENSIONS, dtype=np.uint64) * np.uint64(2)), axis=1).view(np.int64))
+    held, queries = vectors[::2], vectors
+    got = set(zip(*(x.tolist() for x in J.PackedTree(held).above(queries, 5000))))
+    d = J.digits(held).astype(int)
+    want = set()
+    for i, q in enumerate(J.digits(queries).astype(int)):
+        over = d - q
+        want |= {(i, int(j)) for j in np.flatnonzero((over.min(axis=1) == 0) & (over.sum(axis=1) == 1))}
+    assert got == want and len(want) > 20
+
+
+def test_sql(spark):
+    assert compare(J.op12_shingle_join(spark, SF), connect(SF), J.SQL) is None
