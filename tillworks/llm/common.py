@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillworks.plans.workspace import fresh_folder
 
@@ -18,11 +19,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
-    """df written once to the shared folder and read again: lineage is cut there."""
-    folder = fresh_folder(df.sparkSession, purpose)
-    df.write.option("compression", compression).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+def stored(df: DataFrame, purpose: str, compression: str = "zstd", batch_rows: int | None = None, **options: object) -> DataFrame:
+    """df written once to the shared folder and read again: lineage is cut there.
+
+    ``batch_rows`` is the size of Arrow batches while it is written; the session's own setting comes back afterwards.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    folder = fresh_folder(spark, purpose)
+    before = spark.conf.get(key)
+    if batch_rows:
+        spark.conf.set(key, str(batch_rows))
+    try:
+        df.write.options(compression=compression, **options).parquet(folder)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def row_groups(df: DataFrame, purpose: str, rows: int) -> DataFrame:
+    """df stored with so many rows in a Parquet row group: a filter on a sorted column skips the others."""
+    return stored(df, purpose, **{"parquet.block.row.count.limit": rows})
+
+
+def in_ranges(column: str, numbers: Iterable[int], most: int = 200) -> Column:
+    """A filter that keeps all the numbers, as ranges that reach the scan; with more than ``most`` the closest are joined."""
+    ordered = sorted(set(numbers))
+    if not ordered:
+        return F.lit(False)
+    gaps = sorted(((b - a, i) for i, (a, b) in enumerate(zip(ordered, ordered[1:])) if b - a > 1), reverse=True)[: most - 1]
+    cuts = sorted(i + 1 for _, i in gaps)
+    parts = [F.col(column).between(ordered[s], ordered[e - 1]) for s, e in zip([0, *cuts], [*cuts, len(ordered)])]
+    while len(parts) > 1:  # a flat tree of ORs
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) - len(parts) % 2 :]
+    return parts[0]
 
 
 def in_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:

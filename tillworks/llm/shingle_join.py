@@ -40,20 +40,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.common import in_batches, stored, table, vacate
+from tillworks.llm.common import BATCH_ROWS, stored, table, vacate
 from tillworks.llm.components import roots
 
 WORDS = 3
 PERCENT = 90
-DIMENSIONS = 32  # counts of a band, two bits each
+DIMENSIONS = 32  # counts of a band, two bits each in unary: 00, 01, 11
 LONG = 128
 BOX_ROWS = 1 << 14
-FANOUT = 32
+FANOUT = 16
 MEETING_ROWS = 1024
+FEW = 16  # sets of a meeting whose pairs are all compared at once
+BATCH_ROWS_OF_SETS = 1 << 12  # members with their count vectors, the same
+BATCH_NUMBERS = 1 << 16  # rows without texts that travel to a Python worker at once
 FOREST_ROUNDS = 2
+PAIRS_OF_SETS = 64  # whole sets of both, that travel to a Python worker at once
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_FULL = 3  # counts of a band stop there: that makes distances smaller only
+_FULL = 2  # counts of a band stop there: that makes distances smaller only
+_UNARY = np.array([0, 1, 3], np.uint64)
 
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
@@ -104,9 +109,9 @@ def band_vectors(hashes: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.n
     for k in classes.of(len(hashes)):
         m = classes.bands(k)
         cell = (hashes % np.uint64(m)).astype(np.int64) * DIMENSIONS + group
-        counts = np.minimum(np.bincount(cell, minlength=m * DIMENSIONS), _FULL).astype(np.uint64).reshape(m, DIMENSIONS)
+        counts = np.minimum(np.bincount(cell, minlength=m * DIMENSIONS), _FULL).reshape(m, DIMENSIONS)
         trees.append((k << 40) + np.arange(m, dtype=np.int64))
-        vectors.append(np.bitwise_or.reduce(counts << shift, axis=1).view(np.int64))
+        vectors.append(np.bitwise_or.reduce(_UNARY[counts] << shift, axis=1).view(np.int64))
     return np.concatenate(trees), np.concatenate(vectors)
 
 
@@ -129,62 +134,53 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: int, classes: C
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.array(trees, pa.list_(pa.int64())),
                  pa.array(vectors, pa.list_(pa.int64())), pa.array(long, pa.list_(pa.int32()))], names=["id", "same", "n", "sid", "trees", "vectors", "long"])
 
-    in_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("t"))
     return own.mapInArrow(of_batch, f"id {kind}, same bigint, n bigint, sid binary, trees array<bigint>, vectors array<bigint>, long array<int>")
 
 
-def digits(vectors: np.ndarray) -> np.ndarray:
-    """Packed vectors as rows of counts."""
-    return (vectors.view(np.uint64)[:, None] >> (np.arange(DIMENSIONS, dtype=np.uint64) * np.uint64(2)) & np.uint64(3)).astype(np.int8)
-
-
 class PackedTree:
-    """R-tree over sorted vectors: level 0 are the vectors, each further level the least and greatest counts of ``FANOUT`` below."""
+    """R-tree over sorted vectors: level 0 are the vectors, each further level the least and greatest counts of ``FANOUT`` below.
+
+    Counts are unary, so least and greatest counts are ANDs and ORs, and a sum of minima is the number of common bits.
+    """
 
     def __init__(self, vectors: np.ndarray):
-        low = high = digits(vectors)
-        total = low.sum(axis=1, dtype=np.int32)
-        self.levels = [(low, high, total, total)]
+        low = high = vectors.view(np.uint64)
+        least = most = np.bitwise_count(low).astype(np.int8)
+        self.levels = [(low, high, least, most)]
         while len(low) > FANOUT:
             at = np.arange(0, len(low), FANOUT)
-            low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
-            total_low, total_high = np.minimum.reduceat(self.levels[-1][2], at), np.maximum.reduceat(self.levels[-1][3], at)
-            self.levels.append((low, high, total_low, total_high))
+            low, high = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at)
+            least, most = np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)
+            self.levels.append((low, high, least, most))
 
-    def above(self, vectors: np.ndarray, rows: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    def above(self, vectors: np.ndarray, rows: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
         """(query, place) of the stored vectors that exceed a query by one in one count."""
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        step = max(1, rows // max(1, len(self.levels[-1][0])))
+        top, found = len(self.levels[-1][0]), [np.zeros((2, 0), np.int64)]
+        step = max(1, rows // max(1, top))
         for first in range(0, len(vectors), step):
-            q = digits(vectors[first : first + step])
-            mine = q.sum(axis=1, dtype=np.int32)
-            query, node = (x.ravel() for x in np.meshgrid(np.arange(len(q)), np.arange(len(self.levels[-1][0])), indexing="ij"))
+            x = vectors[first : first + step].view(np.uint64)
+            total = np.bitwise_count(x).astype(np.int8)
+            query, node = np.repeat(np.arange(len(x)), top), np.tile(np.arange(top), len(x))
             for level in range(len(self.levels) - 1, -1, -1):
                 low, high, least, most = self.levels[level]
-                parts = [np.zeros((2, 0), np.int64)]
-                for s in range(0, len(query), 1 << 18):
-                    a, b = query[s : s + (1 << 18)], node[s : s + (1 << 18)]
-                    fits = (least[b] <= mine[a] + 1) & (most[b] > mine[a])
-                    a, b = a[fits], b[fits]
-                    x = q[a]
-                    # a vector one above has all of the query's counts as overlap, and one node count too many at most
-                    fits = (np.minimum(x, high[b]).sum(axis=1, dtype=np.int32) == mine[a]) & (np.maximum(low[b] - x, 0).sum(axis=1, dtype=np.int32) <= 1)
-                    parts.append(np.stack([a[fits], b[fits]]))
-                query, node = np.concatenate(parts, axis=1)
+                q, sum_q = x[query], total[query]
+                # a vector one above has all of the query's counts as overlap, and one node count too many at most
+                fits = (np.bitwise_count(q & high[node]) == sum_q) & (np.bitwise_count(low[node] & ~q) <= 1)
+                fits &= (least[node] <= sum_q + 1) & (most[node] > sum_q)
+                query, node = query[fits], node[fits]
                 if level:
-                    below = len(self.levels[level - 1][0])
                     query = np.repeat(query, FANOUT)
                     node = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                    query, node = query[node < below], node[node < below]
-            found.append((query + first, node))
-        a, b = zip(*found)
-        return np.concatenate(a), np.concatenate(b)
+                    inside = node < len(self.levels[level - 1][0])
+                    query, node = query[inside], node[inside]
+            found.append(np.stack([query + first, node]))
+        return tuple(np.concatenate(found, axis=1))
 
 
 def _leading(vector: Column, i: int) -> Column:
-    return F.shiftright(vector, 2 * i).bitwiseAND(F.lit(3))
+    return F.shiftright(vector, 2 * i).bitwiseAND(F.lit(1))
 
 
 def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
@@ -210,7 +206,7 @@ def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate()
-        kept = None
+        kept: list[list[np.ndarray]] = []
         names = ["tree", "box", "own", "vector", "sets"]
 
         def done(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -223,18 +219,18 @@ def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
 
         for batch in batches:
             rows = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-            if kept is not None:
-                rows = [np.concatenate(x) for x in zip(kept, rows)]
             if not len(rows[0]):
                 continue
             last = int(np.flatnonzero((rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]))[0])  # its box may go on in the next batch
-            yield from done([x[:last] for x in rows])
-            kept = [x[last:] for x in rows]
-        if kept is not None:
-            yield from done(kept)
+            if last or kept and (kept[-1][0][-1] != rows[0][0] or kept[-1][1][-1] != rows[1][0]):
+                yield from done([np.concatenate(x) for x in zip(*kept, [x[:last] for x in rows])])
+                kept = []
+            kept.append([x[last:] for x in rows])
+        if kept:
+            yield from done([np.concatenate(x) for x in zip(*kept)])
 
     dealt = boxed.repartition("tree", "box").sortWithinPartitions("tree", "box", "vector")
-    return stored(dealt.mapInArrow(search, "tree bigint, centre bigint, vector bigint"), "meetings")
+    return stored(dealt.mapInArrow(search, "tree bigint, centre bigint, vector bigint"), "meetings", batch_rows=BATCH_NUMBERS)
 
 
 def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -271,61 +267,77 @@ def _survivors(n: np.ndarray, long: np.ndarray, root: np.ndarray, other: slice |
 def candidates(members: DataFrame, forest: bool, classes: Classes, meeting_rows: int = MEETING_ROWS) -> DataFrame:
     """(a, b) digests of sets that meet, pass the bound and are in different components; members: meeting, sid, n, long, root."""
 
-    def pairs_of(rows: list[np.ndarray], cut: int | None) -> tuple[list, list]:
-        """Of one meeting, or, beyond ``cut``, between its two chunks."""
-        sid, n, long, root = rows
-        names = np.unique(root, return_inverse=True)[1]
-        if cut is None and forest:
-            x, y = _forest(_survivors(n, long, names, None, slice(None), classes))
-        elif cut is None:
-            x, y = np.nonzero(np.triu(_survivors(n, long, names, None, slice(None), classes), 1))
-        else:
-            near = _survivors(n, long, names, slice(cut, None), slice(0, cut), classes)
-            if forest:
-                whole = np.zeros((len(n), len(n)), bool)
-                whole[:cut, cut:] = near
-                x, y = _forest(whole | whole.T)
-            else:
-                x, y = np.nonzero(near)
-                y = y + cut
-        return [sid[k] for k in x], [sid[k] for k in y]
-
-    def arrays(rows: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
-        if isinstance(rows, pa.Table):
-            rows = rows.combine_chunks().to_batches()[0]
-        sid, root = (np.array(rows.column(c).to_pylist(), object) for c in ("sid", "root"))
-        long = rows.column("long").flatten().to_numpy().reshape(rows.num_rows, -1)
-        return [sid, rows.column("n").to_numpy(), long, root]
+    def large(n: np.ndarray, long: np.ndarray, root: np.ndarray, cut: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs of one meeting, or, with ``cut``, of those between its two chunks."""
+        if cut is None:
+            near = _survivors(n, long, root, None, slice(None), classes)
+            return _forest(near) if forest else np.nonzero(np.triu(near, 1))
+        near = _survivors(n, long, root, slice(cut, None), slice(0, cut), classes)
+        if not forest:
+            x, y = np.nonzero(near)
+            return x, y + cut
+        whole = np.zeros((len(n), len(n)), bool)
+        whole[:cut, cut:] = near
+        return _forest(whole | whole.T)
+
+    def arrays(rows: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        rows = rows.combine_chunks()
+        long = rows.column("long").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, LONG)
+        root = rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        return rows.column("sid").combine_chunks(), rows.column("n").to_numpy(), long, root
+
+    def whole_meetings(rows: pa.Table) -> pa.RecordBatch:
+        sid, n, long, root = arrays(rows)
+        meeting = rows.column("meeting").to_numpy()
+        starts = np.flatnonzero(np.diff(meeting, prepend=meeting[0] - 1))
+        sizes = np.diff(np.append(starts, len(meeting)))
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        at = np.flatnonzero(np.repeat(sizes <= FEW, sizes))
+        for shift in range(1, FEW):
+            x, y = at[:-shift], at[shift:]
+            same = (meeting[x] == meeting[y]) & (root[x] != root[y])
+            x, y = x[same], y[same]
+            sized = 100 * np.minimum(n[x], n[y]) >= classes.percent * np.maximum(n[x], n[y])
+            x, y = x[sized], y[sized]
+            for k in range(0, len(x), 1 << 14):
+                i, j = x[k : k + (1 << 14)], y[k : k + (1 << 14)]
+                near = classes.enough(n[i], n[j], np.minimum(long[i], long[j]).sum(axis=1, dtype=np.int64))
+                a.append(i[near])
+                b.append(j[near])
+        for s, size in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist()):
+            mine = slice(s, s + size)
+            x, y = large(n[mine], long[mine], root[mine], None)
+            a.append(x + s)
+            b.append(y + s)
+        return out(sid, np.concatenate(a), np.concatenate(b))
 
     def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate()
-        kept = None
+        kept: list[pa.RecordBatch] = []
         for batch in batches:
-            batch = batch if kept is None else pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
             if not batch.num_rows:
                 continue
             meeting = batch.column("meeting").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(meeting)) + 1])
-            kept = batch.slice(int(cuts[-1]))
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                yield out(*pairs_of(arrays(batch.slice(int(s), int(e - s))), None))
-        if kept is not None:
-            yield out(*pairs_of(arrays(kept), None))
+            last = int(np.searchsorted(meeting, meeting[-1]))  # it may go on in the next batch
+            if last or kept and kept[-1].column("meeting")[-1].as_py() != meeting[0]:
+                yield whole_meetings(pa.Table.from_batches([*kept, batch.slice(0, last)]))
+                kept = []
+            kept.append(batch.slice(last))
+        if kept:
+            yield whole_meetings(pa.Table.from_batches(kept))
 
-    def out(a: list, b: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+    def out(sid: pa.Array, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([sid.take(pa.array(a)), sid.take(pa.array(b))], names=["a", "b"])
 
     def of_chunks(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         lo, hi = key[1].as_py(), key[2].as_py()
-        rows = rows.sort_by("sid")
-        if lo == hi:
-            return pa.Table.from_batches([out(*pairs_of(arrays(rows), None))])
-        parts = [rows.filter(pc.equal(rows.column("i"), c)) for c in (lo, hi)]
-        if not all(p.num_rows for p in parts):
-            return pa.Table.from_batches([out([], [])])
-        return pa.Table.from_batches([out(*pairs_of(arrays(pa.concat_tables(parts)), parts[0].num_rows))])
-
-    in_batches(members.sparkSession)
+        rows, cut = rows.sort_by("sid"), None
+        if lo < hi:
+            parts = [rows.filter(pc.equal(rows.column("i"), c)) for c in (lo, hi)]
+            rows, cut = pa.concat_tables(parts), parts[0].num_rows
+        sid, n, long, root = arrays(rows)
+        return pa.Table.from_batches([out(sid, *large(n, long, root, cut))])
+
     open_ones = members.groupBy("meeting").agg(F.count("*").alias("members"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     open_ones = stored(open_ones.select("meeting", "members"), "open-meetings")
     taken = members.join(open_ones, "meeting")
@@ -338,7 +350,7 @@ def candidates(members: DataFrame, forest: bool, classes: Classes, meeting_rows:
         dealt = dealt.select("meeting", "sid", "n", "long", "root", "i", F.explode(F.sequence(F.lit(0), F.col("c") - 1)).alias("j"))
         chunks = dealt.groupBy("meeting", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"))
         found = found.union(chunks.applyInArrow(of_chunks, "a binary, b binary"))
-    return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    return stored(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates", batch_rows=BATCH_ROWS_OF_SETS)
 
 
 def links(pairs: DataFrame, sets: DataFrame, classes: Classes) -> DataFrame:
@@ -352,11 +364,10 @@ def links(pairs: DataFrame, sets: DataFrame, classes: Classes) -> DataFrame:
                 keep.append(bool(classes.enough(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)))))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    in_batches(pairs.sparkSession, 64)
     left = sets.select(F.col("sid").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("sid").alias("b"), F.col("hashes").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(verify, "a binary, b binary"), "set-links")
+    return stored(both.mapInArrow(verify, "a binary, b binary"), "set-links", batch_rows=PAIRS_OF_SETS)
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -369,13 +380,13 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
 
     named = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__same"), F.col(text_col).cast("binary").alias("__t"))
     one = named.join(wanted, (F.col("__same") == F.col("same")) & F.col("__id").eqNullSafe(F.col("id"))).select("sid", "__t")
-    return stored(one.mapInArrow(of_batch, "sid binary, hashes binary").dropDuplicates(["sid"]), "sets")
+    return stored(one.mapInArrow(of_batch, "sid binary, hashes binary").dropDuplicates(["sid"]), "sets", batch_rows=BATCH_ROWS)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, root, component_id) of each row: root is the digest that names its component."""
     classes = Classes(percent)
-    of_docs = stored(features(docs, id_col, text_col, words, classes), "shingle-features")
+    of_docs = stored(features(docs, id_col, text_col, words, classes), "shingle-features", batch_rows=BATCH_ROWS)
     distinct = stored(of_docs.where("n > 0").select("id", "same", "n", "sid", "trees", "vectors", "long").dropDuplicates(["sid"]), "shingle-sets")
     points = distinct.select("sid", F.explode(F.arrays_zip("trees", "vectors")).alias("p")).select("sid", F.col("p.trees").alias("tree"), F.col("p.vectors").alias("vector"))
     met = meetings(points)
