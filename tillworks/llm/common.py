@@ -41,19 +41,29 @@ def row_groups(df: DataFrame, purpose: str, rows: int) -> DataFrame:
     return stored(df, purpose, **{"parquet.block.row.count.limit": rows})
 
 
-def in_ranges(column: str, numbers: Iterable[int], most: int = 200) -> Column:
-    """A filter that keeps all the numbers, as ranges that reach the scan; with more than ``most`` the closest are joined."""
-    ordered = sorted(set(numbers))
+def in_ranges(column: str, ranges: Iterable[tuple[int, int]], most: int = 200) -> Column:
+    """A filter for whole ranges (from, to) that reaches the scan; of more than ``most``, the closest are joined."""
+    ordered = sorted(ranges)
     if not ordered:
         return F.lit(False)
-    gaps = sorted(((b - a, i) for i, (a, b) in enumerate(zip(ordered, ordered[1:])) if b - a > 1), reverse=True)[: most - 1]
-    cuts = sorted(i + 1 for _, i in gaps)
-    parts = [F.col(column).between(ordered[s], ordered[e - 1]) for s, e in zip([0, *cuts], [*cuts, len(ordered)])]
+    gaps = sorted(((b[0] - a[1], i + 1) for i, (a, b) in enumerate(zip(ordered, ordered[1:]))), reverse=True)[: most - 1]
+    cuts = sorted(i for gap, i in gaps if gap > 1)
+    parts = [F.col(column).between(ordered[s][0], max(r[1] for r in ordered[s:e])) for s, e in zip([0, *cuts], [*cuts, len(ordered)])]
     while len(parts) > 1:  # a flat tree of ORs
         parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) - len(parts) % 2 :]
     return parts[0]
 
 
+def spans(numbers: DataFrame, column: str, most: int = 4096) -> list[tuple[int, int]]:
+    """Ranges that hold all numbers of a column: some ``most`` of them at the most, so a bounded list for the driver."""
+    low, high = numbers.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return []
+    step = F.lit(-(-(high - low + 1) // most))
+    part = F.floor((F.col(column) - low) / step)
+    return [(a, b) for a, b in numbers.groupBy(part.alias("part")).agg(F.min(column), F.max(column)).select("min(" + column + ")", "max(" + column + ")").collect()]
+
+
 def in_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Keep Arrow batches of whole texts small; the default is 10,000 rows."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

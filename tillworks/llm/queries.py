@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillworks.llm import chat, decontamination, divergence, language, line_chunks, mixing, secrets, sharding, shingle_join, simhash, token_files, vector_file
+from tillworks.llm import chat, decontamination, divergence, hard_negatives, language, line_chunks, mixing, secrets, sharding, shingle_join, simhash, token_files, vector_file
 from tillworks.llm.common import Query
 
 _OPERATORS = [
@@ -16,6 +16,7 @@ _OPERATORS = [
     (chat.op8_chat, chat.SQL),
     (mixing.op9_mixing, None),  # drawn
     (language.op10_language, None),  # learned
+    (hard_negatives.op11_hard_negatives, hard_negatives.SQL),
     (shingle_join.op12_shingle_join, shingle_join.SQL),
     (divergence.op13_divergence, divergence.SQL),
 ]
