@@ -393,15 +393,20 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     member = points.join(met, ["tree", "vector"]).select(F.xxhash64("tree", "centre").alias("meeting"), "sid").distinct()
     member = stored(member.join(distinct.select("sid", "n", "long"), "sid"), "members")
 
-    found, named = None, None
+    found, named, tested = None, None, None
     for forest in [True] * FOREST_ROUNDS + [False]:
         if named is None:
             rooted = member.withColumn("root", F.col("sid"))
         else:
             rooted = member.join(named, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         pairs = candidates(rooted, forest, classes)
-        if pairs.isEmpty():
+        if pairs.isEmpty():  # no two sets that meet and pass the bound are apart any more
             break
+        if tested is not None:
+            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "new-candidates")
+            if pairs.isEmpty():
+                continue
+        tested = pairs if tested is None else tested.union(pairs)
         ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
         wanted = distinct.select("sid", "id", "same").join(ends, "sid", "left_semi")
         new = links(pairs, _sets_of(docs, wanted, id_col, text_col, words), classes)
