@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 import frames as T
@@ -88,3 +89,30 @@ def test_group_positions_equal_row_number(spark):
     assert got.exceptAll(want).count() == 0 and got.count() == 3000
 
 
+@pytest.mark.parametrize("bound,most,ranges", [(3000, 5000, 200), (3000, 40, 200), (3000, 200, 7), (3000, 0, 3)])
+def test_group_ranks_equal_row_number(spark, monkeypatch, bound, most, ranges):
+    from pyspark.sql import Window
+
+    monkeypatch.setattr(ranking, "RANGES", ranges)
+    # one group holds a third of the rows, many of them equal in value; some values are NULL
+    df = spark.range(0, 3000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("g"),
+        F.when(F.col("id") % 17 > 0, (F.col("id") % 11).cast("decimal(18,2)")).alias("v"),
+        F.when(F.col("id") % 5 == 0, F.lit(3)).otherwise(F.col("id") * 7919 % 400).alias("u"), "id",
+    )
+    want = df
+    for name, value in (("n", "v"), ("m", "u")):
+        w = Window.partitionBy("g").orderBy(F.desc(value), "id")
+        want = want.withColumn(name, F.row_number().over(w).cast("bigint"))
+    want = want.withColumn("s", F.sum("u").over(Window.partitionBy("g")))
+    got = ranking.group_ranks(df, "g", "id", {"n": "v", "m": "u"}, ("s", "u"), bound, most).select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == 3000
+
+
+def test_small_groups_take_one_shuffle_and_a_sort_per_rank(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("g"), "id", (F.col("id") % 5).alias("v"))
+    got = ranking.group_ranks(df, "g", "id", {"n": "v", "m": "id"}, ("s", "v"), 100)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and text.count("Sort [") == 2 and "ExistingRDD" not in text
+
+

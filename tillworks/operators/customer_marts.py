@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from tillworks.functions import columns as C
 from tillworks.functions import rules
-from tillworks.operators.ranking import first_per_key, with_group_position
-from tillworks.session import durable
+from tillworks.operators.ranking import GROUP_ROWS, first_per_key, group_ranks
 
 
 def _known(fact: DataFrame) -> DataFrame:
@@ -35,13 +34,16 @@ def primary_country(fact: DataFrame) -> DataFrame:
 def _product_sums(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Sales per (customer, product): the base of affinity and lifetime value.
 
-    One COUNT(DISTINCT) only, so no row is expanded.
+    One shuffle on the pair; both aggregations keep to it. Days are bits of their month
+    first, so no distinct count shuffles the rows again. A hot customer's rows spread
+    over its products, and a pair has a row per day and country at most.
     """
-    return (
-        _dated(fact, dates, "date")
-        .groupBy("customer_id", "product_id")
+    months = (
+        _dated(fact, dates, "date", "year", "month", "day")
+        .repartition("customer_id", "product_id")
+        .groupBy("customer_id", "product_id", "year", "month")
         .agg(
-            F.countDistinct("date_id").alias("times_purchased"),
+            C.days_of_month().alias("_days"),
             C.count_sum("total_transactions").alias("total_orders"),
             C.count_sum("total_quantity").alias("total_quantity_bought"),
             C.money_sum("total_revenue").alias("total_product_revenue"),
@@ -51,6 +53,16 @@ def _product_sums(fact: DataFrame, dates: DataFrame) -> DataFrame:
             F.max("date").alias("last_purchased_date"),
         )
     )
+    return months.groupBy("customer_id", "product_id").agg(
+        F.sum("_days").cast("bigint").alias("times_purchased"),
+        F.sum("total_orders").alias("total_orders"),
+        F.sum("total_quantity_bought").alias("total_quantity_bought"),
+        C.money_sum("total_product_revenue").alias("total_product_revenue"),
+        F.sum("fact_rows").alias("fact_rows"),
+        F.max("max_purchase_value").alias("max_purchase_value"),
+        F.min("first_purchased_date").alias("first_purchased_date"),
+        F.max("last_purchased_date").alias("last_purchased_date"),
+    )
 
 
 def customer_lifetime_value(
@@ -186,19 +198,20 @@ def customer_monthly_activity(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def _ranked_products(sums: DataFrame) -> DataFrame:
-    """(customer, product) sums with the customer's spend and both ranks.
-
-    Ties go to the smaller product id. Ranks come from positions in the whole
-    table, so a customer of any size is ranked by as many tasks as its rows need.
-    """
-    by_revenue = [F.desc("total_product_revenue"), F.asc("product_id")]
-    by_frequency = [F.desc("times_purchased"), F.asc("product_id")]
-    sums = durable(sums)
-    spend = sums.groupBy("customer_id").agg(C.money_sum("total_product_revenue").alias("_spend"))
-    ranked = with_group_position(sums, ["customer_id"], by_revenue, "product_rank_by_revenue")
-    ranked = with_group_position(ranked, ["customer_id"], by_frequency, "product_rank_by_frequency")
-    return ranked.join(spend, "customer_id")
+def _ranked_products(sums: DataFrame, bound: int, most: int = GROUP_ROWS) -> DataFrame:
+    """(customer, product) sums with the customer's spend and both ranks; ties go to the smaller product id."""
+    return group_ranks(
+        sums,
+        "customer_id",
+        "product_id",
+        {
+            "product_rank_by_revenue": "total_product_revenue",
+            "product_rank_by_frequency": "times_purchased",
+        },
+        ("_spend", "total_product_revenue"),
+        bound,
+        most,
+    )
 
 
 def customer_product_affinity(
@@ -208,14 +221,15 @@ def customer_product_affinity(
     as_of: dt.date | str | None = None,
 ) -> DataFrame:
     """One row per (customer, product) with ranks inside the customer."""
-    # before the ranks: only products of the dimension take part in them
+    # before the ranks: only products of the dimension take part in them, so it bounds a customer
+    bound = products.count()
     sums = _product_sums(fact, dates).join(products.select("product_id"), "product_id", "left_semi")
     span = F.datediff("last_purchased_date", "first_purchased_date")
     idle_days = F.datediff(C.as_of_date(as_of), "last_purchased_date")
     times = F.col("times_purchased")
     share = C.divide(F.col("total_product_revenue") * 100, "_spend")
     return (
-        _ranked_products(sums)
+        _ranked_products(sums, bound)
         .join(products, "product_id")
         .withColumn("days_buying_this_product", span)
         .withColumn("pct_of_customer_spend", share)
