@@ -19,7 +19,8 @@ TEXTS = [
 ]
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns that operators use for themselves inside.
-CLASHES = ("id", "same", "fp", "t", "h", "n", "node", "segment", "term", "place", "shard", "removed", "n_lines", "target", "copies", "__x")
+CLASHES = ("id", "same", "fp", "t", "h", "n", "node", "segment", "term", "place", "shard", "removed", "n_lines", "target", "copies", "__x",
+           "__id", "__same", "__cut", "__gone", "__row", "__key", "__text", "__score", "__lang_pred", "__hit", "__copy", "__d", "__t", "__s", "__source", "__copies")
 
 
 def documents(spark, rows=TEXTS):

@@ -18,12 +18,12 @@ def brute(docs, items, length=10):
         w, hit, ids = words(text), set(), set()
         for item, t in items:
             v = words(t)
-            for k in range(max(1, len(v) - length + 1) if v and item is not None else 0):
+            for k in range(max(1, len(v) - length + 1) if v else 0):
                 run = v[k : k + length]
                 for p in range(len(w) - len(run) + 1):
                     if w[p : p + len(run)] == run:
                         hit |= set(range(p, p + len(run)))
-                        ids.add(str(item))
+                        ids |= {str(item)} - {"None"}
         out.append((doc, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)))
     return sorted(out, key=repr)
 
@@ -53,6 +53,20 @@ def test_many_segments_and_rounds(spark, monkeypatch):
     assert got == want
 
 
+def test_items_without_an_id_are_searched(spark):
+    docs = spark.createDataFrame([(1, "one alpha two"), (2, "beta"), (3, None)], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(None, "alpha"), (7, "beta"), (None, "beta")], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in D.contamination(docs, asked).collect()}
+    assert got == {1: (1, 0, True), 2: (1, 1, True), 3: (0, 0, False)}
+
+
+def test_segments_of_documents_without_words(spark):
+    docs = spark.range(0, 100, 1, 1).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
+    index = D.build_index(docs, segment_words=20)
+    assert max(len(r["docs"]) for r in index.where("term = ''").collect()) == 20
+    assert D.find(index, items(spark)).count() == 100
+
+
 def test_near(spark):
     docs = documents(spark)
     near = D.find(D.build_index(docs), spark.createDataFrame([(1, "dog fox lazy"), (2, "here dog quick")], "item_id bigint, text string"), span=8)

@@ -62,3 +62,10 @@ def test_empty(spark):
 def test_sql(spark):
     assert compare(L.op4_line_chunks(spark, SF), connect(SF), L.SQL) is None
     assert not re.search("Python|Arrow", L.op4_line_chunks(spark, SF)._jdf.queryExecution().toString())
+
+
+def test_columns_of_any_name(spark):
+    docs = documents(spark)
+    got = L.without_repeats(docs)
+    extra = [c for c in docs.columns if c.startswith("__")]
+    assert {tuple(r) for r in got.select(*extra).collect()} == {tuple(f"c-{c}" for c in extra)}

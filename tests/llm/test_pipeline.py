@@ -1,3 +1,4 @@
+import pytest
 import regex
 from rows import SF, documents, values
 
@@ -85,3 +86,13 @@ def test_contaminated_by_an_item_without_id(spark, tmp_path):
     spark.createDataFrame([(None, leak), (1, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = documents(spark, [(1, f"so {leak}", "en", "a"), (2, "clean text", "en", "a")])
     assert values(P.drop_contaminated(spark, docs, str(tmp_path)), "doc_id") == [(2,)]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in P.STAGES][:-1])
+def test_stages_keep_columns_of_any_name(spark, name):
+    """Columns named like the stages' own come back with their values."""
+    docs = documents(spark)
+    kept = stored(dict(P.STAGES)[name](spark, docs, SF), "t-clash")
+    assert kept.columns == docs.columns
+    extra = [c for c in docs.columns if c not in SCHEMA]
+    assert {tuple(r) for r in kept.select(*extra).collect()} == {tuple(f"c-{c}" for c in extra)}

@@ -69,6 +69,17 @@ def in_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def fresh_names(taken: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted column names, with underscores in front as long as the input has such a column."""
+    names, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in names:
+            name = "_" + name
+        names.add(name.lower())
+        out.append(name)
+    return out
+
+
 _resident: dict = {}
 
 

@@ -7,7 +7,7 @@ Test phrases are then looked up segment by segment: the rarest term's positions,
 in the phrase, are intersected with those of the next rarest term until none or all terms are through.
 
 Defined results: a null text has no words; a null id is kept; repeated rows give repeated result rows; items
-without words or without an id have no windows; empty tables give empty results. Only the id and text columns
+without words have no windows, those of items without an id count as hits but name no item; empty tables give empty results. Only the id and text columns
 of either table are read, so other columns may have any name.
 """
 
@@ -95,7 +95,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 ids.append(doc)
                 sizes.append(len(found))
                 numbers.append(np.fromiter(map(terms.__getitem__, found), np.int32, len(found)))
-                held += len(found)
+                held += len(found) + 1  # a segment of documents without words ends, too
                 if held >= segment_words:
                     yield from _postings(f"{part}-{made}", ids, sizes, numbers, terms, arrow)
                     ids, sizes, numbers, terms, held, made = [], [], [], _Terms(), 0, made + 1
@@ -158,12 +158,12 @@ def _near(terms: tuple[bytes, ...], lists: dict[bytes, np.ndarray], base: np.nda
 
 def _look_up(index: DataFrame, items: list[tuple], length: int, span: int | None) -> DataFrame:
     """One round: per document the merged word spans and the items that were found."""
-    phrases: dict[tuple[bytes, ...], list[str]] = {}
+    phrases: dict[tuple[bytes, ...], list[str]] = {}  # an item without an id has windows, but no name
     for item, text in items:
         found = words(text)
         runs = item_windows(found, length) if span is None else [tuple(found)] * bool(found)
         for run in set(runs):
-            phrases.setdefault(run, []).append(str(item))
+            phrases.setdefault(run, []).extend([] if item is None else [str(item)])
     id_type = index.schema["docs"].dataType.elementType
     schema = T.StructType([
         T.StructField("segment", T.StringType()), T.StructField("doc_no", T.IntegerType()),
@@ -219,7 +219,7 @@ def find(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col:
     are the ids found, as text, sorted. The test items are looked up in rounds of bounded size.
     """
     spark = index.sparkSession
-    asked = items.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
+    asked = items.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
     n, chars = asked.agg(F.count("*"), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
     rounds = max(1, -(-n // ROUND_ITEMS), -(-chars // ROUND_CHARS))
     parts = []
@@ -266,7 +266,7 @@ b AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
          regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+  FROM benchmark WHERE text IS NOT NULL),
 p AS (
   SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS run
   FROM (SELECT *, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
@@ -275,7 +275,7 @@ s AS (
   FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
 m AS (SELECT s.rid, s.n, s.i, p.item FROM s JOIN p ON s.run = p.run AND s.n = p.n),
 h AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS k FROM m) GROUP BY rid),
-t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM m) GROUP BY rid)
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM m WHERE item IS NOT NULL) GROUP BY rid)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
        sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)

@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -171,18 +171,18 @@ def model(labelled: tuple[tuple[str, str], ...]) -> Model:
     return resident(("language", labelled), lambda: Model(labelled))
 
 
-def predicted_rows(docs: DataFrame, labelled: tuple[tuple[str, str], ...]) -> DataFrame:
-    """docs, whole rows, with __lang_pred and __score; only the text column is looked at."""
+def predicted_rows(docs: DataFrame, labelled: tuple[tuple[str, str], ...], names: Sequence[str] = ("__lang_pred", "__score")) -> DataFrame:
+    """docs, whole rows, with the language and its score under two new names; only the text column is looked at."""
     place = docs.columns.index("text")
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels, scores = model(labelled).predict(batch.column(place).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "__lang_pred", "__score"])
+                [*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, *names])
 
     in_batches(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return docs.mapInArrow(of_batch, schema)
 
 
