@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks.llm import decontamination, language, mixing, simhash, token_files
-from tillworks.llm.common import stored, table
+from tillworks.llm.common import fresh_names, stored, table
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any letter, for which no language can be told; without labels all others stay, too."""
     labelled = language.sample(docs) or (("any", "a"),)
-    known = language.predicted_rows(docs, labelled).where("__score > 0")  # 0 is for texts without letters alone
+    label, score = fresh_names(docs.columns, "__lang_pred", "__score")
+    known = language.predicted_rows(docs, labelled, (label, score)).where(F.col(score) > 0)  # 0 is for texts without letters alone
     return known.select([f"`{c}`" for c in docs.columns])
 
 
@@ -37,8 +38,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     items = table(spark, sf_dir, "benchmark").select(F.lit("item").alias("item_id"), "text")  # which item it was doesn't matter
     hit = decontamination.find(decontamination.build_index(named), items).where(F.size("hits") > 0)
     hit = hit.select(F.col("doc_id.id").alias("__hit"), F.col("doc_id.same").alias("__same")).distinct()
-    same_row = F.col("doc_id").eqNullSafe(F.col("__hit")) & (F.xxhash64("text") == F.col("__same"))
-    return docs.join(hit, same_row, "left_anti").select([f"`{c}`" for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text"))
+    same_row = F.col("__id").eqNullSafe(F.col("__hit")) & (F.col("__text") == F.col("__same"))
+    return rows.join(hit, same_row, "left_anti").select("__row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
