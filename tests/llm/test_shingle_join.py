@@ -129,13 +129,12 @@ def test_bands_hold_every_link(percent):
 def test_packed_tree():
     rng = np.random.default_rng(4)
     counts = rng.choice(3, (3000, J.DIMENSIONS), p=[0.9, 0.08, 0.02])
-    packed = np.bitwise_or.reduce(J._UNARY[counts] << (np.arange(J.DIMENSIONS, dtype=np.uint64) * np.uint64(2)), axis=1)
-    vectors = np.unique(packed.view(np.int64))
+    vectors = np.unique(J.pack(counts))
     held = vectors[::2]
     got = set(zip(*(x.tolist() for x in J.PackedTree(held).above(vectors, 5000))))
 
     def digits(v):
-        return np.array([[(int(x) >> 2 * i & 3).bit_count() for i in range(J.DIMENSIONS)] for x in v.view(np.uint64)])
+        return np.array([[(int(x) >> 32 + i & 1) + (int(x) >> i & 1) for i in range(J.DIMENSIONS)] for x in v.view(np.uint64)])
 
     want, stored = set(), digits(held)
     for i, q in enumerate(digits(vectors)):

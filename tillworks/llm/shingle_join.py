@@ -45,10 +45,10 @@ from tillworks.llm.components import roots
 
 WORDS = 3
 PERCENT = 90
-DIMENSIONS = 32  # counts of a band, two bits each in unary: 00, 01, 11
+DIMENSIONS = 32  # counts of a band, two bits each in unary: present in the upper half of 64 bits, twice or more in the lower
 LONG = 128
-BOX_ROWS = 1 << 14
-FANOUT = 16
+BOX_ROWS = 1 << 12
+FANOUT = 8
 MEETING_ROWS = 1024
 FEW = 16  # sets of a meeting whose pairs are all compared at once
 BATCH_ROWS_OF_SETS = 1 << 12  # members with their count vectors, the same
@@ -57,8 +57,6 @@ FOREST_ROUNDS = 2
 PAIRS_OF_SETS = 64  # whole sets of both, that travel to a Python worker at once
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_FULL = 2  # counts of a band stop there: that makes distances smaller only
-_UNARY = np.array([0, 1, 3], np.uint64)
 
 
 def shingles(text: bytes | None, words: int = WORDS) -> np.ndarray:
@@ -101,26 +99,39 @@ class Classes:
         return (100 + self.percent) * overlap >= self.percent * (a + b)
 
 
+def pack(counts: np.ndarray) -> np.ndarray:
+    """Rows of counts as 64-bit numbers; counts stop at two, which makes distances smaller only."""
+    place = np.arange(DIMENSIONS, dtype=np.uint64)
+    bits = (counts > 0).astype(np.uint64) << (place + np.uint64(32)) | (counts > 1).astype(np.uint64) << place
+    return np.bitwise_or.reduce(bits, axis=1).view(np.int64)
+
+
 def band_vectors(hashes: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
     """(tree, packed counts) of each band of each class that a set is in; tree numbers hold the class and the band."""
     trees, vectors = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     group = (hashes >> np.uint64(59)).astype(np.int64)
-    shift = np.arange(DIMENSIONS, dtype=np.uint64) * np.uint64(2)
     for k in classes.of(len(hashes)):
         m = classes.bands(k)
         cell = (hashes % np.uint64(m)).astype(np.int64) * DIMENSIONS + group
-        counts = np.minimum(np.bincount(cell, minlength=m * DIMENSIONS), _FULL).reshape(m, DIMENSIONS)
+        counts = np.bincount(cell, minlength=m * DIMENSIONS).reshape(m, DIMENSIONS)
         trees.append((k << 40) + np.arange(m, dtype=np.int64))
-        vectors.append(np.bitwise_or.reduce(_UNARY[counts] << shift, axis=1).view(np.int64))
+        vectors.append(pack(counts))
     return np.concatenate(trees), np.concatenate(vectors)
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(arrays)))
+
+
 def features(docs: DataFrame, id_col: str, text_col: str, words: int, classes: Classes) -> DataFrame:
     """(id, same, n, sid, trees, vectors, long) of each document: set size, digest of the set, counts of the bands and of the whole set."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate()
         for batch in batches:
+            if not batch.num_rows:
+                continue
             n, sid, trees, vectors, long = [], [], [], [], []
             for text in batch.column(2):
                 found = shingles(text.as_py(), words)
@@ -131,8 +142,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: int, classes: C
                 vectors.append(v)
                 long.append(np.bincount(((found >> np.uint64(32)) % np.uint64(LONG)).astype(np.int64), minlength=LONG).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.array(trees, pa.list_(pa.int64())),
-                 pa.array(vectors, pa.list_(pa.int64())), pa.array(long, pa.list_(pa.int32()))], names=["id", "same", "n", "sid", "trees", "vectors", "long"])
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), _lists(trees), _lists(vectors), _lists(long)], names=["id", "same", "n", "sid", "trees", "vectors", "long"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("t"))
@@ -180,7 +190,7 @@ class PackedTree:
 
 
 def _leading(vector: Column, i: int) -> Column:
-    return F.shiftright(vector, 2 * i).bitwiseAND(F.lit(1))
+    return F.shiftright(vector, 32 + i).bitwiseAND(F.lit(1))
 
 
 def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
