@@ -81,23 +81,22 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Added columns that the input has already get underscores in front.
     """
-    n_lines, n_removed, removed = fresh_names(docs.columns, "n_lines", "n_removed", "removed")
+    n_lines, n_removed, removed, id_, same, cut, out = fresh_names(
+        docs.columns, "n_lines", "n_removed", "removed", "__id", "__same", "__cut", "__gone")
     spare = stored(removals(docs, id_col, text_col, **how), "spare-chunks").select(
-        F.col("id").alias("__id"), F.col("same").alias("__same"), F.col("chunks").alias("__cut"))
-    # whole rows in one column: no name of theirs meets one of these
-    named = docs.select(F.struct("*").alias("__row"), F.col(f"`{id_col}`").alias("__key"), F.col(f"`{text_col}`").alias("__text"))
-    joined = named.join(spare.hint("merge"), F.col("__key").eqNullSafe(F.col("__id")) & (F.xxhash64("__text") == F.col("__same")), "left")
-    text = F.col("__text")
+        F.col("id").alias(id_), F.col("same").alias(same), F.col("chunks").alias(cut))
+    text = F.col(f"`{text_col}`")
+    joined = docs.join(spare.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(same)), "left")
     lines = F.split(text, "\n", -1)
-    gone = F.flatten(F.transform("__cut", lambda c: F.sequence(c["start"], c["start"] + c["lines"] - 1)))
+    gone = F.flatten(F.transform(cut, lambda c: F.sequence(c["start"], c["start"] + c["lines"] - 1)))
     kept = F.array_join(F.transform(
-        F.filter(F.arrays_zip(lines.alias("l"), F.sequence(F.lit(0), F.size(lines) - 1).alias("i")), lambda x: ~F.array_contains(F.col("__gone"), x["i"])),
+        F.filter(F.arrays_zip(lines.alias("l"), F.sequence(F.lit(0), F.size(lines) - 1).alias("i")), lambda x: ~F.array_contains(F.col(out), x["i"])),
         lambda x: x["l"]), "\n")
-    return joined.withColumn("__gone", gone).select(
-        *[F.when(F.col("__cut").isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col("__row").getField(c).alias(c) for c in docs.columns],
+    return joined.withColumn(out, gone).select(
+        *[F.when(F.col(cut).isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
         F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias(n_lines),
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("bigint").alias(n_removed),
-        F.coalesce(F.expr("transform(__cut, c -> named_struct('start', cast(c.start as bigint), 'lines', cast(c.lines as bigint)))"), F.expr("cast(array() as array<struct<start:bigint,lines:bigint>>)")).alias(removed))
+        F.coalesce(F.size(out), F.lit(0)).cast("bigint").alias(n_removed),
+        F.coalesce(F.expr(f"transform(`{cut}`, c -> named_struct('start', cast(c.start as bigint), 'lines', cast(c.lines as bigint)))"), F.expr("cast(array() as array<struct<start:bigint,lines:bigint>>)")).alias(removed))
 
 
 def op4_line_chunks(spark, sf_dir):
