@@ -3,9 +3,11 @@ import os
 import pytest
 
 from frames import D, rows
+from tillworks import schemas
 from tillworks.operators import sales_marts as SM
 from tillworks.operators import silver as S
 from tillworks.sources import transactions as X
+from tillworks.sources.layers import write_bronze
 from tillworks.streaming import daily, landing
 
 HEAD = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -79,6 +81,56 @@ def test_two_landings_and_a_renewed_checkpoint_share_a_root(spark, store, tmp_pa
     assert found(store)[at] == full_run(spark, one, two)[at]
 
 
+def bronze_files(store, batch=None):
+    from pathlib import Path
+
+    found = Path(store.location(landing.BRONZE)).glob(f"ingest_batch={batch or '*'}/**/*.parquet")
+    return sorted(found)
+
+
+def test_a_batch_opens_no_earlier_file_of_bronze(spark, store, tmp_path):
+    """Earlier batches are made unreadable: the next one, also of a renewed checkpoint, does not notice."""
+    inbox = tmp_path / "in"
+
+    def drain(mark):
+        landing.stream_bronze(landing.landing_lines(spark, str(inbox)), store, str(tmp_path / mark))
+
+    land(inbox, "a.csv", FIRST)
+    drain("mark-1")
+    land(inbox, "b.csv", SECOND)
+    drain("mark-1")
+    old = bronze_files(store)
+    assert old
+    for f in old:
+        f.write_bytes(b"no parquet")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    land(inbox, "c.csv", THIRD)
+    drain("mark-2")  # sees all three files, takes the third
+    new = [str(f) for f in bronze_files(store) if f not in old]
+    assert spark.read.parquet(*new).select("invoiceno").collect() == [("6",)]
+    names = sorted(r[0].rsplit("/", 1)[1] for r in landing.landed_files(store).select("source_file").collect())
+    assert names == ["a.csv", "b.csv", "c.csv"]
+
+
+def test_the_ledger_catches_up_with_bronze(spark, store, tmp_path):
+    """A crash before the ledger was written, bronze of older date, a full refresh, lines without a file name."""
+    inbox = tmp_path / "in"
+    land(inbox, "a.csv", FIRST)
+    lines = X.clean_strict(X.read_transactions(spark, str(inbox)))
+    write_bronze(store, X.bronze_rows(lines, "by-hand").select(*schemas.BRONZE_TABLE.names))
+    unnamed = X.bronze_rows(lines.drop("source_file"), "2011").select(*schemas.BRONZE_TABLE.names)
+    write_bronze(store, unnamed)
+    assert not store.exists(landing.LANDED)
+    assert landing.take_batch(store, lines, "b-0").count() == 0  # by-hand brought the file
+    assert store.read(landing.BRONZE).count() == 8
+    assert landing._batches(store, f"{store.location(landing.LANDED)}/bronze_version=1") == {"by-hand", "2011"}
+    write_bronze(store, unnamed, "overwrite")  # a full refresh without that file
+    assert landing.take_batch(store, lines, "b-1").count() == 4
+    assert landing.take_batch(store, lines, "b-1").count() == 4  # a replay
+    assert landing.take_batch(store, lines, "b-2").count() == 0
+    assert store.read(landing.BRONZE).count() == 8
+
+
 @pytest.mark.parametrize("order", [("a", "b", "c"), ("c", "b", "a"), ("b", "c", "a")])
 def test_days_do_not_depend_on_batches(spark, store, tmp_path, order):
     """Files in any order, one per trigger, give the days of a batch run."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from tillworks.sources import transactions as X
 from tillworks.sources.layers import LayerStore, in_partitions, write_bronze
 
 BRONZE = "bronze.raw_transactions"
+# Ledger of the files in bronze: a row per file and batch, a folder per bronze version and batch.
+LANDED = "ops.landed_files"
+LANDED_ROWS = "source_file string, bronze_version string, ingest_batch string"
 # Bytes of files that one micro-batch takes; a backlog beyond it comes in several.
 BYTES_PER_TRIGGER = 64 << 30
 
@@ -53,17 +57,59 @@ def drain(lines: DataFrame, checkpoint: str, take: Callable[[DataFrame, str], No
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def _batches(store: LayerStore, folder: str) -> set[str]:
+    """Batches that have a folder under a table's folder; one listing, no file is opened."""
+    fs, place = store._fs(folder)
+    if not fs.exists(place):
+        return set()
+    names = [status.getPath().getName() for status in fs.listStatus(place)]
+    return {unquote(n.split("=", 1)[1]) for n in names if n.startswith("ingest_batch=")}
+
+
+def note_landed(store: LayerStore, but: str | None = None) -> None:
+    """Enter the files of bronze batches that the ledger does not know yet, except batch ``but``.
+
+    Only those batches are read: as a rule the one just written, after a crash between the two
+    writes the one left over, and all once where bronze was filled before there was a ledger or a
+    full refresh replaced it (the ledger is kept for each bronze version). A batch without file
+    names gets a row, too, so that it is not read again.
+    """
+    version = store.location(BRONZE).rsplit("=", 1)[1]
+    noted = set()
+    if store.exists(LANDED):
+        noted = _batches(store, f"{store.location(LANDED)}/bronze_version={version}")
+    missing = _batches(store, store.location(BRONZE)) - noted - {but}
+    if not missing:
+        return
+    rows = store.read(BRONZE).where(F.col("ingest_batch").isin(sorted(missing)))
+    files = rows.select("source_file", F.lit(version).alias("bronze_version"), "ingest_batch").distinct()
+    store.overwrite_partitions(files, LANDED, ["bronze_version", "ingest_batch"])
+
+
+def landed_files(store: LayerStore) -> DataFrame:
+    """(source_file, ingest_batch) of the current bronze version, from the ledger."""
+    if not store.exists(LANDED):
+        rows = store.spark.createDataFrame([], LANDED_ROWS)
+    else:
+        rows = store.spark.read.schema(LANDED_ROWS).parquet(store.location(LANDED))
+        rows = rows.where(F.col("bronze_version") == store.location(BRONZE).rsplit("=", 1)[1])
+    return rows.where("source_file is not null").select("source_file", "ingest_batch")
+
+
 def take_batch(store: LayerStore, rows: DataFrame, batch: str) -> DataFrame:
     """One batch of cleaned lines into bronze; returns the rows that it holds there.
 
     The batch has folders of its own, so a replay replaces it. Files that another
-    batch already brought, before a checkpoint was renewed, are left out.
+    batch already brought, before a checkpoint was renewed, are left out: the ledger
+    names them, so no line of an earlier batch is read.
     """
     fresh = X.bronze_rows(rows, batch)
     if store.exists(BRONZE):
-        others = store.read(BRONZE).where((F.col("ingest_batch") != batch) & F.col("source_file").isNotNull())
+        note_landed(store, but=batch)
+        others = landed_files(store).where(F.col("ingest_batch") != batch)
         fresh = fresh.join(others.select("source_file").distinct(), "source_file", "left_anti")
     write_bronze(store, fresh.select(*schemas.BRONZE_TABLE.names))
+    note_landed(store)
     return store.read(BRONZE).where(F.col("ingest_batch") == batch)
 
 
