@@ -3,12 +3,14 @@
 For each language a bounded sample of labelled text is turned into a suffix automaton. A text is parsed into the
 longest phrases that occur in the sample; the fewer phrases, weighted by the bits that name a place in the sample,
 the nearer the language: phrases * log2(sample length) / text length estimates the cross entropy, and the least
-wins (ties: the first name). Letters are lower-cased, all else between them counts as one space. Texts are parsed
-in stretches of ``STRETCH`` letters, side by side, over dense transition tables.
+wins (ties: the first name). Letters are lower-cased, all else between them counts as one space. The most frequent
+letters of the samples are symbols of their own, every other letter is spelled by three or four digits of its code
+point, so none is lost, whatever the script. Texts are parsed in stretches of ``STRETCH`` symbols, side by side, over
+dense transition tables.
 
 The sample is the only bounded part: ``SAMPLE_DOCS`` documents a language, by a hash of their id, the first
-``SAMPLE_CHARS`` characters of each, ``SAMPLE_SYMBOLS`` in all, shared out evenly over at most ``LANGUAGES`` labels
-(the most frequent). Predictions read whole texts.
+``SAMPLE_CHARS`` characters of each, ``SAMPLE_ROWS`` documents and ``SAMPLE_SYMBOLS`` symbols in all. Every label is
+learned; the more there are, the smaller the even share of each. Predictions read whole texts.
 
 Defined results: a null text and one without letters are ``und`` with score 0, and so is every text if nothing
 could be learned; the score is the share of the runner-up's cost in its and the winner's cost (1 if there is one
@@ -35,10 +37,11 @@ from tillworks.llm.common import in_batches, resident, table
 SAMPLE_DOCS = 96
 SAMPLE_CHARS = 1000
 SAMPLE_SYMBOLS = 240_000
-LANGUAGES = 64
+SAMPLE_ROWS = 64 * SAMPLE_DOCS
 STRETCH = 256
 UNKNOWN = "und"
-_SYMBOLS = 120  # letters told apart, the most frequent of the samples
+_SYMBOLS = 80  # letters with a symbol of their own, the most frequent of the samples
+_BASE = 41  # of the digits that spell the others: three up to U+FFFF, four beyond
 _SEED = 7
 
 
@@ -50,11 +53,12 @@ def sample(docs: DataFrame) -> tuple[tuple[str, str], ...]:
     """(label, text) of each language, bounded as documented above."""
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(_SEED), "doc_id"), "doc_id")
-    common = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    if not common:
+    labels = rows.select("lang").distinct().count()
+    if not labels:
         return ()
-    picked = rows.where(F.col("lang").isin(common)).select(
-        "lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"), F.row_number().over(by_hash).alias("k")).where(F.col("k") <= SAMPLE_DOCS)
+    each = max(1, min(SAMPLE_DOCS, SAMPLE_ROWS // labels))
+    picked = rows.select(
+        "lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("t"), F.row_number().over(by_hash).alias("k")).where(F.col("k") <= each)
     texts: dict[str, list[str]] = {}
     for lang, text in picked.orderBy("lang", "k").select("lang", "t").collect():  # bounded by the sample
         texts.setdefault(lang, []).append(text)
@@ -92,26 +96,29 @@ def _automaton(symbols: list[int], size: int) -> np.ndarray:
 
 
 class Model:
-    """Automata of the sample's languages over one alphabet: 0 space, then letters, then other letters, then padding."""
+    """Automata of the sample's languages over one alphabet: 0 space, then letters, then digits of other letters, then padding."""
 
     def __init__(self, labelled: tuple[tuple[str, str], ...]):
         self.labels = [lang for lang, _ in labelled]
         lower = [text.lower() for _, text in labelled]
         letters = [c for c, _ in Counter(c for t in lower for c in t if c.isalpha()).most_common(_SYMBOLS)]
-        self.size = len(letters) + 3
-        other = len(letters) + 1
+        self.digits = len(letters) + 1
+        self.size = self.digits + _BASE + 1
+        self.low = np.arange(0x110000, dtype=np.int32)  # a letter's small form, if that is one letter
         lut = np.zeros(0x110000, np.uint8)
-        lut[[i for i in range(0x110000) if chr(i).isalpha()]] = other
+        for i in range(0x110000):
+            if (c := chr(i)).isalpha():
+                lut[i] = self.digits
+                if len(small := c.lower()) == 1:
+                    self.low[i] = ord(small)
         for k, c in enumerate(letters, 1):
             lut[ord(c)] = k
-            if len(c.upper()) == 1:
-                lut[ord(c.upper())] = k
         self.lut = lut
         self.tables, self.unseen, self.bits = [], [], []
-        share = SAMPLE_SYMBOLS // max(1, len(labelled))
+        share = max(1, SAMPLE_SYMBOLS // max(1, len(labelled)))
         for text in lower:
             symbols = self.symbols(text)[:share]
-            step = _automaton([s for s in symbols.tolist() if s < other], self.size)
+            step = _automaton(symbols.tolist(), self.size)
             start = np.maximum(step[0], 0)  # a phrase that ends restarts with the letter that ended it
             table = np.where(step >= 0, step, 0) * self.size
             table = np.where(step >= 0, table, ~(start * self.size)[None, :])
@@ -124,10 +131,24 @@ class Model:
             self.bits.append(math.log2(max(2, len(symbols))))
 
     def symbols(self, text: str) -> np.ndarray:
-        found = self.lut[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        points = self.low.take(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
+        found = self.lut.take(points)
         keep = found != 0
         keep[1:] |= found[:-1] != 0
-        return found[keep]
+        found = found[keep]
+        spelled = np.flatnonzero(found == self.digits)
+        if not len(spelled):
+            return found
+        points = points[keep][spelled]
+        width = np.where(points < _BASE**3, 3, 4)
+        sizes = np.ones(len(found), np.int64)
+        sizes[spelled] = width
+        out = np.repeat(found, sizes)
+        last = np.cumsum(sizes)[spelled] - 1
+        for k in range(4):
+            there = width > k
+            out[last[there] - k] = self.digits + points[there] // _BASE**k % _BASE
+        return out
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Number of phrases of each (not empty) text in each language."""
