@@ -37,6 +37,18 @@ def test_stream_job(spark, store, tmp_path):
     assert store.read("gold.fact_sales_monthly").count() == 2
 
 
+def test_workbooks_as_source(spark, store, tmp_path):
+    from tillworks import schemas
+    from tillworks.sources.workbooks import write_workbooks
+
+    text = [line.split(",") for line in CSV.splitlines()]
+    df = spark.createDataFrame([[v or None for v in line] for line in text[1:]], schemas.SOURCE_FILE).coalesce(1)
+    write_workbooks(df, str(tmp_path / "in"), sheet_rows=3)
+    job = ["run", "--source", str(tmp_path / "in"), "--format", "xlsx", "--as-of", "2011-02-01", "--root", store.root]
+    assert cli.main([*job, "--all-sheets"]) == 0
+    assert store.read("bronze.raw_transactions").count() == 4
+
+
 def test_arguments():
     with pytest.raises(SystemExit):
         cli.main(["months", "--month", "13", "--root", "x"])

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from tillworks.plans import medallion, monthly
 from tillworks.sources import transactions as X
 from tillworks.sources.layers import LayerStore
+from tillworks.sources.workbooks import ALL, FIRST
 from tillworks.streaming import landing
 
 
@@ -20,7 +21,8 @@ def _arguments() -> argparse.ArgumentParser:
 
     run = jobs.add_parser("run", help="refresh every layer from the source and check it")
     run.add_argument("--source", required=True)
-    run.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    run.add_argument("--format", default="csv", choices=["csv", "parquet", "xlsx"])
+    run.add_argument("--all-sheets", action="store_true", help="every sheet of a workbook, not the first alone")
     run.add_argument("--cleaning", default="strict", choices=["strict", "lenient"])
     run.add_argument(
         "--date-format", action="append", help="layout of text dates, tried in order; repeatable"
@@ -59,7 +61,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.job == "run":
         checks = medallion.run(
             spark, args.source, args.root, args.format, args.as_of, args.cleaning,
-            args.date_format or X.DATE_FORMATS, args.count_unknown,
+            args.date_format or X.DATE_FORMATS, args.count_unknown, ALL if args.all_sheets else FIRST,
         ).collect()  # a row per check
         failed = [c for c in checks if not c["passed"]]
         for c in failed:

@@ -13,6 +13,7 @@ from tillworks.operators import quality, silver
 from tillworks.operators import sales_marts as SM
 from tillworks.sources import transactions as X
 from tillworks.sources.layers import LayerStore, write_bronze
+from tillworks.sources.workbooks import FIRST
 
 Tables = dict[str, DataFrame]
 
@@ -86,6 +87,7 @@ def run(
     spark: SparkSession, source: str, root: str, fmt: str = "csv",
     as_of: dt.date | str | None = None, cleaning: str = "strict",
     date_formats: Sequence[str] = X.DATE_FORMATS, count_unknown: bool = False,
+    sheets: str | Sequence[str] = FIRST,
 ) -> DataFrame:
     """Full refresh of every layer from the source; returns the checks' rows.
 
@@ -93,7 +95,7 @@ def run(
     """
     store = LayerStore(spark, root, count_unknown=count_unknown)
     clean = {"strict": X.clean_strict, "lenient": X.clean_lenient}[cleaning]
-    lines = clean(X.read_transactions(spark, source, fmt), date_formats)
+    lines = clean(X.read_transactions(spark, source, fmt, sheets), date_formats)
     write_bronze(store, X.bronze_rows(lines, batch=str(uuid.uuid4())), mode="overwrite")
     bronze = store.read("bronze.raw_transactions")
     tables = silver_tables(store, bronze)

@@ -710,6 +710,7 @@ UNION ALL SELECT DISTINCT strftime(o_orderdate, '%Y-%m'), year(o_orderdate), mon
        '{rules.COMPLETED}', '{{"recovered": true}}' FROM orders"""
 
     out["read_transactions"] = f"""WITH {_CLEAN_STRICT.replace(_PRICE, _NEAR_PRICE)} SELECT * FROM strict"""
+    out["read_workbooks"] = out["read_transactions"]
     out["write_bronze_append"] = bronze(
         f"""SELECT CASE WHEN quantity < 0 THEN 'returns' ELSE 'sales' END AS ingest_batch,
        count(*) AS line_count, {_n('sum(quantity)', 'total_quantity')} FROM bronze GROUP BY 1"""

@@ -23,7 +23,7 @@ from tillworks.operators import merge, oplog, quality, silver
 from tillworks.operators import reports as R
 from tillworks.operators import sales_marts as SM
 from tillworks.plans import medallion, monthly, workspace
-from tillworks.sources import layers
+from tillworks.sources import layers, workbooks
 from tillworks.sources import transactions as X
 from tillworks.sources.layers import LayerStore, write_bronze
 from tillworks.sources.testdata import bronze_lines, raw_lines, table
@@ -566,16 +566,29 @@ def _fresh_store(spark, purpose: str) -> LayerStore:
     return LayerStore(spark, workspace.fresh_folder(spark, purpose))
 
 
+def _file_lines(spark, sf_dir):
+    lines = raw_lines(spark, sf_dir, defects=True).toDF(*schemas.SOURCE_FILE.names)
+    price = F.when(F.col("UnitPrice").isNotNull(), (F.col("UnitPrice") + 2000) % 10050 - 25)
+    return lines.withColumn("UnitPrice", price)
+
+
 @query
 def read_transactions(spark, sf_dir):
     """Lines written as CSV and read back, most prices within the limits, cleaned strictly."""
     folder = workspace.fresh_folder(spark, "csv")
-    lines = raw_lines(spark, sf_dir, defects=True).toDF(*schemas.SOURCE_FILE.names)
-    price = F.when(F.col("UnitPrice").isNotNull(), (F.col("UnitPrice") + 2000) % 10050 - 25)
-    lines.withColumn("UnitPrice", price).write.option("header", True).csv(folder)
+    _file_lines(spark, sf_dir).write.option("header", True).csv(folder)
     return X.clean_strict(X.read_transactions(spark, folder)).drop("source_file")
 
 
+@query
+def read_workbooks(spark, sf_dir):
+    """The same lines written as spreadsheets and read back."""
+    folder = workspace.fresh_folder(spark, "xlsx")
+    workbooks.write_workbooks(_file_lines(spark, sf_dir), folder)
+    lines = X.read_transactions(spark, folder, fmt="xlsx", sheets=workbooks.ALL)
+    return X.clean_strict(lines).drop("source_file")
+
+
 @query
 def write_bronze_append(spark, sf_dir):
     """Two batches appended, the first of them twice."""

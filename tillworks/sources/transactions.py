@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tillworks import schemas
 from tillworks.functions import rules
+from tillworks.sources import workbooks
 
 # Date layouts of the source files; day comes first.
 DATE_FORMATS = ["dd/MM/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
@@ -17,12 +18,17 @@ DATE_FORMATS = ["dd/MM/yyyy H:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
 _KEYS = ["invoiceno", "stockcode", "invoicedate"]
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_transactions(
+    spark: SparkSession, path: str, fmt: str = "csv", sheets: str | Sequence[str] = workbooks.FIRST
+) -> DataFrame:
     """Invoice lines from a file or folder on any Hadoop file system.
 
     CSV is read as text under the fixed schema, never inferred; Parquet keeps
-    its own types. ``source_file`` is the path each row came from.
+    its own types. Workbooks (xlsx) give text, from their first sheet, from "all"
+    or from named ones. ``source_file`` is the path each row came from.
     """
+    if fmt == "xlsx":
+        return workbooks.read_workbooks(spark, path, schemas.SOURCE_FILE.names, sheets)
     if fmt == "csv":
         lines = (
             spark.read.schema(schemas.SOURCE_FILE)
