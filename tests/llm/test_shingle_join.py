@@ -145,3 +145,42 @@ def test_packed_tree():
 
 def test_sql(spark):
     assert compare(J.op12_shingle_join(spark, SF), connect(SF), J.SQL) is None
+
+
+def test_a_vector_is_dealt_to_two_boxes(spark):
+    """However many boxes a tree has; vectors one step apart share a box."""
+    rng = np.random.default_rng(12)
+    some = rng.choice(3, (1500, J.DIMENSIONS), p=[0.7, 0.2, 0.1])
+    above = some.copy()
+    above[np.arange(1500), rng.integers(0, J.DIMENSIONS, 1500)] += 1
+    pairs = [(int(a), int(b)) for a, b in zip(J.pack(some), J.pack(above)) if a != b]
+    vectors = sorted({v for p in pairs for v in p})
+    rows = [(1, v, 1) for v in vectors] + [(2, v, 1) for v in vectors[:4]]
+    dealt = J.boxes(spark.createDataFrame(rows, "tree bigint, vector bigint, sets bigint"), 4).collect()
+    assert len(dealt) == 2 * len(vectors) + 4 and len({r["box"] for r in dealt}) > 300
+    held = {}
+    for r in dealt:
+        v = r["vector"] if r["box"] < 0 or r["box"] % 2 == 0 else int(J._swapped(np.array([r["vector"]]))[0])
+        held.setdefault((r["tree"], v), set()).add(r["box"])
+    assert {v for t, v in held if t == 1} == set(vectors) and {v for t, v in held if t == 2} == set(vectors[:4])
+    assert all(held[1, a] & held[1, b] for a, b in pairs)
+
+
+@pytest.mark.parametrize("most", [1 << 18, 1])
+def test_few_texts_are_shuffled_for_the_exact_check(spark, most):
+    docs = spark.range(20_000).select(F.xxhash64("id").alias("same"), "id")
+    wanted = docs.where("id % 100 = 0").select("same")
+    kept = {r["id"] for r in J.likely(docs, wanted, most).collect()}
+    assert kept >= set(range(0, 20_000, 100))
+    assert most == 1 or len(kept) < 200 + 20_000 / J.BITS * 1.2
+
+
+@pytest.mark.parametrize("box_rows", [1 << 14, 30])
+def test_meetings_of_vectors_one_step_apart(spark, box_rows):
+    rng = np.random.default_rng(5)
+    vectors = np.unique(J.pack(rng.choice(3, (1000, J.DIMENSIONS), p=[0.93, 0.05, 0.02]))).tolist()
+    points = spark.createDataFrame([(7, v) for v in vectors for _ in range(1 + v % 2)], "tree bigint, vector bigint")
+    got = {(r["centre"], r["vector"]) for r in J.meetings(points, box_rows).collect()}
+    query, place = J.PackedTree(np.array(vectors)).above(np.array(vectors))
+    steps = {(vectors[p], vectors[q]) for q, p in zip(query.tolist(), place.tolist())}
+    assert got == steps | {(c, c) for c, _ in steps} | {(v, v) for v in vectors if v % 2} and len(steps) > 20

@@ -8,14 +8,16 @@ so the Manhattan distance of two vectors is a lower bound of the number of shing
 *Trees.* Sets are taken in classes of similar size; a set whose partner may fall into the next class is a guest
 there. The groups of a class are cut into bands of ``DIMENSIONS`` counts, so many that two linked sets differ by
 one at most in some band: each (class, band) is an R-tree of its own over the different count vectors of the band.
-Its upper levels are boxes split where a leading count is zero or not, as many as keep a box at ``BOX_ROWS``
-vectors; a vector is stored in its box and visits the boxes that hold a vector one above it. Inside a box, sorted
-vectors are packed into pages of ``FANOUT``, pages into nodes, each with its least and greatest counts; a node is
+Two vectors one step apart agree in the upper or the lower half of their counts, so a tree of more than ``BOX_ROWS``
+vectors is split into boxes twice, by the counts of either half: a vector lies in two boxes, however many there
+are, and shares one of them with each vector a step away. Inside a box, vectors that share that half with no other
+are left aside, and the others, sorted, are packed into pages of ``FANOUT``, pages into nodes, each with its least and greatest counts; a node is
 entered only if the summed minima of the vector and the node's greatest counts leave overlap enough. Vectors one
 step apart, and sets of one vector, meet.
 
 *Bounds, then sets.* Sets that meet are compared by a longer count vector (``LONG`` groups of the whole set); only
-pairs whose summed minima reach the needed overlap go on to the exact intersection. Pairs are never spelled out
+pairs whose summed minima reach the needed overlap go on to the exact intersection, for which the texts of those
+sets alone are shuffled: a bitmap of their hashes keeps nearly all others back. Pairs are never spelled out
 for a whole meeting at first: two rounds take a spanning forest of each meeting's surviving pairs, check it
 exactly and name the components found so far; the last round then takes every surviving pair whose sets are still
 in different components. Meetings of more than ``MEETING_ROWS`` sets are dealt out in pairs of chunks.
@@ -37,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.common import BATCH_ROWS, stored, table, vacate
@@ -54,6 +56,8 @@ FEW = 16  # sets of a meeting whose pairs are all compared at once
 BATCH_ROWS_OF_SETS = 1 << 12  # members with their count vectors, the same
 BATCH_NUMBERS = 1 << 16  # rows without texts that travel to a Python worker at once
 FOREST_ROUNDS = 2
+BITS = 16  # of the bitmap, for each wanted set
+BITMAP_WORDS = 1 << 18  # of 64 bits, at most
 PAIRS_OF_SETS = 64  # whole sets of both, that travel to a Python worker at once
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -189,42 +193,66 @@ class PackedTree:
         return tuple(np.concatenate(found, axis=1))
 
 
-def _leading(vector: Column, i: int) -> Column:
-    return F.shiftright(vector, 32 + i).bitwiseAND(F.lit(1))
+_UPPER = 0xFFFF0000FFFF0000  # bits of the upper half of a vector's counts
+
+
+def _swapped(vector: np.ndarray) -> np.ndarray:
+    """Vectors with the halves of their counts in each other's place."""
+    bits, upper, half = vector.view(np.uint64), np.uint64(_UPPER), np.uint64(16)
+    return ((bits & upper) >> half | (bits & ~upper) << half).view(np.int64)
+
+
+def boxes(vectors: DataFrame, box_rows: int) -> DataFrame:
+    """(tree, box, vector, sets) from (tree, vector, sets): boxes by the upper half of the counts; in odd ones vectors are swapped.
+
+    Trees of ``box_rows`` vectors at most are one box, -1; the others' number of boxes is broadcast, a row for each.
+    """
+    upper = F.lit(_UPPER - (1 << 64))
+    large = vectors.groupBy("tree").agg(F.ceil(F.count("*") / box_rows).alias("many")).where("many > 1")
+    v = F.col("vector")
+    swapped = F.shiftrightunsigned(v.bitwiseAND(upper), 16).bitwiseOR(F.shiftleft(v.bitwiseAND(F.bitwise_not(upper)), 16))
+    sides = F.when(F.col("many").isNull(), F.array(v)).otherwise(F.array(v, swapped))
+    both = vectors.join(F.broadcast(large), "tree", "left").select("tree", "sets", "many", F.posexplode(sides).alias("side", "vector"))
+    box = F.pmod(F.xxhash64(v.bitwiseAND(upper)), F.col("many")) * 2 + F.col("side")
+    return both.select("tree", F.coalesce(box, F.lit(-1).cast("bigint")).alias("box"), "vector", "sets")
+
+
+def one_above(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, place) of the sorted vectors of the same upper half, one of which exceeds the other by one in one count."""
+    _, key, sharing = np.unique(vectors.view(np.uint64) & np.uint64(_UPPER), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(sharing[key] > 1)
+    query, place = (shared[x] for x in PackedTree(vectors[shared]).above(vectors[shared]))
+    same = key[query] == key[place]
+    return query[same], place[same]
 
 
 def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
-    """(tree, centre, vector): vectors of a tree that meet at a stored vector, itself included, two sets at least."""
+    """(tree, centre, vector): vectors of a tree that meet at a stored vector, itself included, two sets at least; a centre may come twice."""
     vectors = stored(points.groupBy("tree", "vector").agg(F.count("*").alias("sets")), "band-vectors")
-    most = vectors.groupBy("tree").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    depth = min(DIMENSIONS, max(0, (most - 1).bit_length() - (box_rows - 1).bit_length()))
-    v, home = F.col("vector"), F.lit(0).cast("bigint")
-    for i in range(depth):
-        home = home + F.when(_leading(v, i) > 0, F.lit(1 << i)).otherwise(F.lit(0))
-    visits = [F.when(_leading(v, i) == 0, F.col("home") + F.lit(1 << i)) for i in range(depth)]
-    boxed = vectors.withColumn("home", home).select(
-        "tree", "vector", "sets", "home", F.explode(F.array_compact(F.array("home", *visits))).alias("box"))
-    boxed = boxed.select("tree", "box", (F.col("box") == F.col("home")).alias("own"), "vector", "sets")
-
-    def of_box(tree: int, own: np.ndarray, vectors: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, ...]:
-        held = vectors[own]
-        query, place = PackedTree(held).above(vectors) if len(held) else (np.zeros(0, np.int64),) * 2
-        alone = np.ones(len(held), bool)
-        alone[place] = False
-        centre = (sets[own] > 1) | ~alone
-        return (np.full(len(query) + int(centre.sum()), tree), np.concatenate([held[place], held[centre]]), np.concatenate([vectors[query], held[centre]]))
+
+    def of_box(tree: int, box: int, vectors: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, ...]:
+        query, place = one_above(vectors)
+        if box < 0:  # the whole tree: pairs that agree in the other half, too
+            order = np.argsort(swapped := _swapped(vectors))
+            query, place = (np.concatenate([x, order[y]]) for x, y in zip((query, place), one_above(swapped[order])))
+        elif box % 2:
+            vectors = _swapped(vectors)
+        centre = sets > 1
+        centre[place] = True
+        held = vectors[centre]
+        return np.full(len(query) + len(held), tree), np.concatenate([vectors[place], held]), np.concatenate([vectors[query], held])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate()
         kept: list[list[np.ndarray]] = []
-        names = ["tree", "box", "own", "vector", "sets"]
+        names = ["tree", "box", "vector", "sets"]
 
         def done(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            tree, box, own, vector, sets = rows
+            tree, box, vector, sets = rows
             cuts = np.flatnonzero((np.diff(tree) != 0) | (np.diff(box) != 0)) + 1
             for s, e in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(tree)]])):
                 if e > s:
-                    out = of_box(tree[s], own[s:e], vector[s:e], sets[s:e])
+                    out = of_box(tree[s], box[s], vector[s:e], sets[s:e])
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["tree", "centre", "vector"])
 
         for batch in batches:
@@ -239,7 +267,7 @@ def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
         if kept:
             yield from done([np.concatenate(x) for x in zip(*kept)])
 
-    dealt = boxed.repartition("tree", "box").sortWithinPartitions("tree", "box", "vector")
+    dealt = boxes(vectors, box_rows).repartition("tree", "box").sortWithinPartitions("tree", "box", "vector")
     return stored(dealt.mapInArrow(search, "tree bigint, centre bigint, vector bigint"), "meetings", batch_rows=BATCH_NUMBERS)
 
 
@@ -380,6 +408,16 @@ def links(pairs: DataFrame, sets: DataFrame, classes: Classes) -> DataFrame:
     return stored(both.mapInArrow(verify, "a binary, b binary"), "set-links", batch_rows=PAIRS_OF_SETS)
 
 
+def likely(rows: DataFrame, wanted: DataFrame, most: int = BITMAP_WORDS) -> DataFrame:
+    """Rows whose hash ``same`` is in a bitmap of the wanted ones: all that are wanted and few others."""
+    words = min(most, wanted.count() * BITS // 64 + 1)
+    place = F.pmod("same", F.lit(64 * words))
+    set_bits = wanted.select(F.floor(place / 64).alias("word"), (place % 64).cast("int").alias("bit"))
+    bitmap = set_bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    met = rows.withColumn("word", F.floor(place / 64)).join(F.broadcast(bitmap), "word")
+    return met.where(F.getbit("bits", place % 64) == 1).select(*rows.columns)
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """(sid, hashes) of the wanted sets, from the whole text of one document each; wanted: sid, id, same."""
 
@@ -388,9 +426,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
             hashes = [shingles(t.as_py(), words).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], names=["sid", "hashes"])
 
-    named = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__same"), F.col(text_col).cast("binary").alias("__t"))
-    one = named.join(wanted, (F.col("__same") == F.col("same")) & F.col("__id").eqNullSafe(F.col("id"))).select("sid", "__t")
-    return stored(one.mapInArrow(of_batch, "sid binary, hashes binary").dropDuplicates(["sid"]), "sets", batch_rows=BATCH_ROWS)
+    wanted = stored(wanted, "wanted-sets")
+    named = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("__t"))
+    key = (F.col("d.same") == F.col("w.same")) & F.col("__id").eqNullSafe(F.col("id"))
+    one = likely(named, wanted).alias("d").join(wanted.alias("w"), key).select("sid", "__t").dropDuplicates(["sid"])
+    return stored(one.mapInArrow(of_batch, "sid binary, hashes binary"), "sets", batch_rows=BATCH_ROWS)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
