@@ -22,12 +22,12 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -47,9 +47,9 @@ _WORD_WISE = {
     "normalizer": ["NFC", "Replace", "Lowercase"],
     "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
 }
-# Characters on which lower case, letter class and white space are beyond doubt.
-_PLAIN = frozenset(map(chr, [*range(9, 14), *range(32, 127), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
-_PIECES = regex.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\x09-\x0D\x20a-zß-öø-ÿ0-9]+")
+# Texts without such characters are plain: on all others lower case, letter class and white space are beyond doubt.
+_ODD = re.compile(r"[^\x09-\x0D\x20-\x7EÀ-ÖØ-öø-ÿ]")
+_PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\x09-\x0D\x20a-zß-öø-ÿ0-9]+")
 
 
 class _Words(dict):
@@ -94,7 +94,7 @@ class Encoder:
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
-        if self.words is not None and _PLAIN.issuperset(set(text)) and not any(s in text for s in self.special):
+        if self.words is not None and not _ODD.search(text) and not any(s in text for s in self.special):
             return np.frombuffer(b"".join(map(self.words.__getitem__, _PIECES.findall(text.lower()))), "<u4")
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
 
