@@ -184,3 +184,52 @@ def test_meetings_of_vectors_one_step_apart(spark, box_rows):
     query, place = J.PackedTree(np.array(vectors)).above(np.array(vectors))
     steps = {(vectors[p], vectors[q]) for q, p in zip(query.tolist(), place.tolist())}
     assert got == steps | {(c, c) for c, _ in steps} | {(v, v) for v in vectors if v % 2} and len(steps) > 20
+
+
+def test_similar_sets_are_compared_once_not_in_every_band(spark, monkeypatch):
+    """Pairs of near copies meet in dozens of bands; sets with nobody left to be compared with leave after a round."""
+    rng, taken, plain = np.random.default_rng(9), [], J.candidates
+    monkeypatch.setattr(J, "candidates", lambda members, *a: taken.append(members.count()) or plain(members, *a))
+    rows = []
+    for k in range(30):
+        text = [f"w{k}_{x}" for x in rng.integers(0, 10**6, 600)]
+        rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join([*text[:300], "x", *text[301:]]))]
+    assert op(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
+    assert 60 <= taken[0] < 200 and taken[1] <= taken[0]  # of more than 2,000
+
+
+def test_later_rounds_take_only_sets_still_apart(spark, monkeypatch):
+    taken, plain = [], J.candidates
+    monkeypatch.setattr(J, "candidates", lambda members, *a: taken.append((members, plain(members, *a))) or taken[-1][1])
+    rng = np.random.default_rng(11)
+    texts = [[f"w{x}" for x in rng.integers(0, 10**6, 200)] for _ in range(40)]
+    rows = [(4 * i + j, " ".join([*t[: 9 * j], *([f"y{i}_{j}"] * (j > 0)), *t[9 * j + 1 :]])) for i, t in enumerate(texts) for j in range(4)]
+    assert op(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
+    for (_, pairs), (members, _) in zip(taken, taken[1:]):
+        ends = {bytes(s) for r in pairs.collect() for s in r}
+        assert {bytes(r["sid"]) for r in members.collect()} <= ends
+
+
+def test_meetings_of_the_same_sets_count_once(spark):
+    """Meetings 1 and 2 hold the same keys; 3 holds one less, 4 another one."""
+    members = [(m, k) for m, keys in {1: (5, 6, 7), 2: (7, 5, 6), 3: (5, 6), 4: (5, 6, 8), 5: (9,)}.items() for k in keys]
+    got = {tuple(r) for r in J.different(spark.createDataFrame(members, "meeting bigint, key bigint")).collect()}
+    assert got == {x for x in members if x[0] not in (2, 5)}
+
+
+@pytest.mark.parametrize("box_rows", [1 << 14, 2])
+def test_many_sets_of_one_vector_stay_in_their_own_meeting(spark, box_rows):
+    """A vector of 50 sets with neighbours of one set above and below: each pair one step apart meets, the 50 go nowhere."""
+    crowd = np.zeros(J.DIMENSIONS, np.int64)
+    crowd[:12] = 1
+    counts = [crowd, *(crowd + np.eye(J.DIMENSIONS, dtype=np.int64)[i] for i in range(20)), *(crowd - np.eye(J.DIMENSIONS, dtype=np.int64)[i] for i in range(12))]
+    first, *others = J.pack(np.array(counts)).tolist()
+    points = spark.createDataFrame([(7, first)] * 50 + [(7, v) for v in others], "tree bigint, vector bigint")
+    got = {(r["centre"], r["vector"]) for r in J.at_the_larger(J.meetings(points, box_rows)).collect()}
+    assert {c for c, v in got if v == first} == {first} and {(first, v) for v in others} <= got
+
+
+def test_two_places_of_the_bitmap(spark):
+    docs = spark.range(20_000).select(F.xxhash64("id").alias("same"), "id")
+    kept = J.likely(docs, docs.where("id % 100 = 0").select("same"))
+    assert 200 <= kept.count() < 200 + 20_000 / J.BITS / 2

@@ -13,14 +13,14 @@ vectors is split into boxes twice, by the counts of either half: a vector lies i
 are, and shares one of them with each vector a step away. Inside a box, vectors that share that half with no other
 are left aside, and the others, sorted, are packed into pages of ``FANOUT``, pages into nodes, each with its least and greatest counts; a node is
 entered only if the summed minima of the vector and the node's greatest counts leave overlap enough. Vectors one
-step apart, and sets of one vector, meet.
+step apart, and sets of one vector, meet, at the vector of more sets. Of the meetings of just the same sets one is kept.
 
 *Bounds, then sets.* Sets that meet are compared by a longer count vector (``LONG`` groups of the whole set); only
 pairs whose summed minima reach the needed overlap go on to the exact intersection, for which the texts of those
 sets alone are shuffled: a bitmap of their hashes keeps nearly all others back. Pairs are never spelled out
 for a whole meeting at first: two rounds take a spanning forest of each meeting's surviving pairs, check it
 exactly and name the components found so far; the last round then takes every surviving pair whose sets are still
-in different components. Meetings of more than ``MEETING_ROWS`` sets are dealt out in pairs of chunks.
+in different components. Only sets that a round's forests name go on to the next. Meetings of more than ``MEETING_ROWS`` sets are dealt out in pairs of chunks.
 
 Equal sets are joined once, by a 128-bit digest; shingles are compared by their 64-bit hashes. No row is sampled,
 capped or left out.
@@ -129,7 +129,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, words: int, classes: Classes) -> DataFrame:
-    """(id, same, n, sid, trees, vectors, long) of each document: set size, digest of the set, counts of the bands and of the whole set."""
+    """(id, same, n, sid, trees, vectors, long) of each document: hash of text and id, set size, digest of the set, counts of the bands and of the whole set."""
 
     def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate()
@@ -149,7 +149,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: int, classes: C
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), _lists(trees), _lists(vectors), _lists(long)], names=["id", "same", "n", "sid", "trees", "vectors", "long"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("t"))
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col, id_col).alias("same"), F.col(text_col).cast("binary").alias("t"))
     return own.mapInArrow(of_batch, f"id {kind}, same bigint, n bigint, sid binary, trees array<bigint>, vectors array<bigint>, long array<int>")
 
 
@@ -227,7 +227,10 @@ def one_above(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
-    """(tree, centre, vector): vectors of a tree that meet at a stored vector, itself included, two sets at least; a centre may come twice."""
+    """(tree, centre, vector, own, sets): vectors of a tree that meet at a stored vector, itself included, two sets at least; a centre may come twice.
+
+    ``own`` and ``sets`` are the numbers of sets of the centre and of the vector.
+    """
     vectors = stored(points.groupBy("tree", "vector").agg(F.count("*").alias("sets")), "band-vectors")
 
     def of_box(tree: int, box: int, vectors: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -239,8 +242,8 @@ def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
             vectors = _swapped(vectors)
         centre = sets > 1
         centre[place] = True
-        held = vectors[centre]
-        return np.full(len(query) + len(held), tree), np.concatenate([vectors[place], held]), np.concatenate([vectors[query], held])
+        at, of = (np.concatenate([x, np.flatnonzero(centre)]) for x in (place, query))
+        return np.full(len(at), tree), vectors[at], vectors[of], sets[at], sets[of]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vacate()
@@ -253,7 +256,7 @@ def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
             for s, e in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(tree)]])):
                 if e > s:
                     out = of_box(tree[s], box[s], vector[s:e], sets[s:e])
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["tree", "centre", "vector"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["tree", "centre", "vector", "own", "sets"])
 
         for batch in batches:
             rows = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
@@ -268,7 +271,26 @@ def meetings(points: DataFrame, box_rows: int = BOX_ROWS) -> DataFrame:
             yield from done([np.concatenate(x) for x in zip(*kept)])
 
     dealt = boxes(vectors, box_rows).repartition("tree", "box").sortWithinPartitions("tree", "box", "vector")
-    return stored(dealt.mapInArrow(search, "tree bigint, centre bigint, vector bigint"), "meetings", batch_rows=BATCH_NUMBERS)
+    return stored(dealt.mapInArrow(search, "tree bigint, centre bigint, vector bigint, own bigint, sets bigint"), "meetings", batch_rows=BATCH_NUMBERS)
+
+
+def at_the_larger(met: DataFrame) -> DataFrame:
+    """(tree, centre, vector): of two vectors one step apart the one of more sets is the centre, so many sets of one vector
+    stay in their own meeting and are not taken to that of each rare neighbour."""
+    centre, vector, turned = F.col("centre"), F.col("vector"), F.col("sets") > F.col("own")
+    return met.select("tree", F.when(turned, vector).otherwise(centre).alias("centre"), F.when(turned, centre).otherwise(vector).alias("vector"))
+
+
+def different(members: DataFrame) -> DataFrame:
+    """The members (meeting, key) of one meeting of all that hold just the same keys, two at least.
+
+    Similar sets meet in most of their bands: without this, each pair would be compared there again. The keys of a
+    meeting are told by two 64-bit sums without carry and their number.
+    """
+    members = stored(members, "all-members")
+    first, second = F.bit_xor("key").alias("x"), F.bit_xor(F.xxhash64("key")).alias("y")
+    held = members.groupBy("meeting").agg(F.count("*").alias("sets"), first, second).where("sets > 1")
+    return members.join(held.groupBy("sets", "x", "y").agg(F.min("meeting").alias("meeting")).select("meeting"), "meeting")
 
 
 def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -409,13 +431,15 @@ def links(pairs: DataFrame, sets: DataFrame, classes: Classes) -> DataFrame:
 
 
 def likely(rows: DataFrame, wanted: DataFrame, most: int = BITMAP_WORDS) -> DataFrame:
-    """Rows whose hash ``same`` is in a bitmap of the wanted ones: all that are wanted and few others."""
+    """Rows whose hash ``same`` is twice in a bitmap of the wanted ones: all that are wanted and few others."""
     words = min(most, wanted.count() * BITS // 64 + 1)
-    place = F.pmod("same", F.lit(64 * words))
-    set_bits = wanted.select(F.floor(place / 64).alias("word"), (place % 64).cast("int").alias("bit"))
-    bitmap = set_bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    met = rows.withColumn("word", F.floor(place / 64)).join(F.broadcast(bitmap), "word")
-    return met.where(F.getbit("bits", place % 64) == 1).select(*rows.columns)
+    places = [F.pmod(h, F.lit(64 * words)) for h in (F.col("same"), F.xxhash64("same"))]
+    set_bits = wanted.select(F.explode(F.array(*places)).alias("place")).select(F.floor(F.col("place") / 64).alias("word"), (F.col("place") % 64).cast("int").alias("bit"))
+    bitmap = F.broadcast(set_bits.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+    for place in places:
+        met = rows.withColumn("word", F.floor(place / 64)).join(bitmap, "word")
+        rows = met.where(F.getbit("bits", place % 64) == 1).select(*rows.columns)
+    return rows
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -427,38 +451,43 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wor
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, pa.binary())], names=["sid", "hashes"])
 
     wanted = stored(wanted, "wanted-sets")
-    named = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("same"), F.col(text_col).cast("binary").alias("__t"))
+    named = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col, id_col).alias("same"), F.col(text_col).cast("binary").alias("__t"))
     key = (F.col("d.same") == F.col("w.same")) & F.col("__id").eqNullSafe(F.col("id"))
     one = likely(named, wanted).alias("d").join(wanted.alias("w"), key).select("sid", "__t").dropDuplicates(["sid"])
     return stored(one.mapInArrow(of_batch, "sid binary, hashes binary"), "sets", batch_rows=BATCH_ROWS)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, root, component_id) of each row: root is the digest that names its component."""
     classes = Classes(percent)
     of_docs = stored(features(docs, id_col, text_col, words, classes), "shingle-features", batch_rows=BATCH_ROWS)
     distinct = stored(of_docs.where("n > 0").select("id", "same", "n", "sid", "trees", "vectors", "long").dropDuplicates(["sid"]), "shingle-sets")
-    points = distinct.select("sid", F.explode(F.arrays_zip("trees", "vectors")).alias("p")).select("sid", F.col("p.trees").alias("tree"), F.col("p.vectors").alias("vector"))
-    met = meetings(points)
-    member = points.join(met, ["tree", "vector"]).select(F.xxhash64("tree", "centre").alias("meeting"), "sid").distinct()
-    member = stored(member.join(distinct.select("sid", "n", "long"), "sid"), "members")
+    key = F.xxhash64("sid").alias("key")
+    points = distinct.select(key, F.explode(F.arrays_zip("trees", "vectors")).alias("p")).select("key", F.col("p.trees").alias("tree"), F.col("p.vectors").alias("vector"))
+    met = at_the_larger(meetings(points))
+    member = points.join(met, ["tree", "vector"]).select(F.xxhash64("tree", "centre").alias("meeting"), "key").distinct()
+    member = stored(different(member).join(distinct.select(key, "sid", "n", "long"), "key").drop("key"), "members")
 
     found, named, tested = None, None, None
     for forest in [True] * FOREST_ROUNDS + [False]:
         if named is None:
             rooted = member.withColumn("root", F.col("sid"))
-        else:
-            rooted = member.join(named, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        else:  # a pair still apart was a pair of the round before, whose forests name each set that had one
+            rooted = member.join(apart, "sid", "left_semi").join(named, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         pairs = candidates(rooted, forest, classes)
         if pairs.isEmpty():  # no two sets that meet and pass the bound are apart any more
             break
+        apart = _ends(pairs)
         if tested is not None:
             pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "new-candidates")
             if pairs.isEmpty():
                 continue
         tested = pairs if tested is None else tested.union(pairs)
-        ends = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-        wanted = distinct.select("sid", "id", "same").join(ends, "sid", "left_semi")
+        wanted = distinct.select("sid", "id", "same").join(_ends(pairs), "sid", "left_semi")
         new = links(pairs, _sets_of(docs, wanted, id_col, text_col, words), classes)
         found = new if found is None else found.union(new)
         named = roots(found).select(F.col("node").alias("sid"), "root")
