@@ -113,3 +113,8 @@ def test_empty_and_broken(spark, tmp_path):
         W.read_workbooks(spark, str(tmp_path), NAMES).count()
     with pytest.raises(ValueError, match="sheets"):
         W.read_workbooks(spark, str(tmp_path), NAMES, "second")
+
+
+def test_no_such_path(spark, tmp_path):
+    with pytest.raises(ValueError, match="no file or folder of workbooks: .*/gone"):
+        W.read_workbooks(spark, f"{tmp_path}/gone", NAMES)
