@@ -1,11 +1,14 @@
 """Spreadsheet workbooks as source and sink."""
 
 import datetime as dt
+import io
 import zipfile
 
+import pyarrow as pa
 import pytest
 
 from tillworks import schemas
+from tillworks.sources import sheet_xml
 from tillworks.sources import transactions as X
 from tillworks.sources import workbooks as W
 
@@ -78,6 +81,18 @@ def test_more_rows_than_a_batch(spark, tmp_path):
     assert got.selectExpr("sum(cast(id AS bigint))", "count(*)").first() == (W.BATCH_ROWS * (2 * W.BATCH_ROWS + 1), 2 * W.BATCH_ROWS + 1)
 
 
+def test_large_partitions_fill_several_workbooks(spark, tmp_path):
+    df = spark.range(50_000, numPartitions=2)
+    assert W.write_workbooks(df, f"{tmp_path}/x", workbook_rows=9_999) == 50_000
+    assert W.write_workbooks(df, f"{tmp_path}/x", workbook_rows=9_999) == 50_000
+    files = sorted(p.name for p in (tmp_path / "x").iterdir() if not p.name.startswith("."))
+    assert files == sorted(f"part-0000{i}{k}.xlsx" for i in range(2) for k in ["", "-1", "-2"])
+    got = W.read_workbooks(spark, f"{tmp_path}/x", ["id"])
+    assert got.selectExpr("count(*)", "count(distinct id)", "sum(cast(id AS bigint))").first() == (50_000, 50_000, 50_000 * 49_999 // 2)
+    counts = {r["source_file"][-15:]: r["count"] for r in got.groupBy("source_file").count().collect()}
+    assert sorted(counts.values()) == [5_002, 5_002, 9_999, 9_999, 9_999, 9_999]
+
+
 def test_kinds_of_cells(spark, tmp_path):
     rows = (
         '<row r="3"/><row r="5"><c r="B5" t="s"><v>0</v></c><c r="C5" t="inlineStr"><is><t>b</t></is></c>'
@@ -118,3 +133,71 @@ def test_empty_and_broken(spark, tmp_path):
 def test_no_such_path(spark, tmp_path):
     with pytest.raises(ValueError, match="no file or folder of workbooks: .*/gone"):
         W.read_workbooks(spark, f"{tmp_path}/gone", NAMES)
+
+
+def test_written_rows_are_found_by_position(monkeypatch):
+    parsed, row = [], W.Workbook._row
+    monkeypatch.setattr(W.Workbook, "_row", lambda self, e: parsed.append(e) or row(self, e))
+    n, file = 20_000, io.BytesIO()
+    columns = {
+        "i": list(range(n)), "text": [None if i % 3 else f"{i} & <{i}>" for i in range(n)], "price": [i / 4 for i in range(n)],
+        "day": [DAY + dt.timedelta(hours=i) for i in range(n)], "even": [i % 2 == 0 for i in range(n)],
+    }
+    batch = pa.RecordBatch.from_pydict(columns)
+    assert W.write_workbook(file, batch.schema.names, iter([batch])) == n
+    pieces = list(W.Workbook(file.getvalue()).batches("Sheet1", ["even", "none", "day", "price", "text", "i"]))
+    got = [r for piece in pieces for r in zip(*[c.to_pylist() for c in piece])]
+    assert got == [
+        (str(e).lower(), None, str(d), str(p), t, str(i)) for i, t, p, d, e in zip(*columns.values())
+    ]
+    assert len(pieces) > 1 and len(parsed) == 1
+
+
+ODD = {
+    "plain": '<row r="2" spans="1:2"><c r="A2" t="s"><v>1</v></c><c r="B2"><v>2.50</v></c></row><row r="3"/><row r="4"></row>',
+    "nothing in it": '<row r="2"><c r="A2" s="1"/><c r="B2" t="s"><v>2</v></c></row><row r="3"><c r="C3" t="s"><v>0</v></c></row>',
+    "wrong child": '<row r="2"><c r="A2"><is><t>x</t></is></c><c r="B2" t="inlineStr"><v>1</v></c><c r="C2" t="e"><v>#N/A</v></c></row>',
+    "column twice": '<row r="2"><c r="A2"><v>1</v></c><c r="A2"><v>2</v></c></row>',
+    "kinds mixed": '<row r="2"><c r="A2" s="1"><v>2.75</v></c><c r="B2" t="b"><v>0</v></c></row>'
+    '<row r="3"><c r="A3" t="str"><v>_x0041_</v></c><c r="B3" t="d"><v>2010-12-01T08:26:00Z</v></c></row><row r="4"><c r="B4"><v>7</v></c></row>',
+    "entities": '<row r="2"><c r="A2" t="inlineStr"><is><t>a&amp;lt;&#65; &gt;</t></is></c><c r="B2" t="str"><v>&#95;x0041_</v></c></row>',
+    "line ends": '<row r="2">\r\n<c r="A2" t="inlineStr"><is><t>a\r\nb\rc</t></is></c>\r\n</row>',
+    "no reference": '<row r="2"><c r="B2"><v>1</v></c></row><row><c><v>5</v></c></row>',
+    "other order": '<row r="2"><c t="b" r="A2"><v>1</v></c></row>',
+    "formula, runs": '<row r="2"><c r="A2"><f>1+1</f><v>2</v></c><c r="B2" t="inlineStr"><is><r><t>ri</t></r><r><t>ch</t></r></is></c></row>',
+    "comment": '<row r="2"><c r="A2"><v>1</v></c></row><!-- <row r="3"><c r="A3"><v>2</v></c></row> --><row r="4"><c r="A4"><v>3</v></c></row>',
+    "section": '<row r="2"><c r="A2" t="str"><v><![CDATA[</row><row>]]></v></c></row><row r="3"><c r="A3"><v>3</v></c></row>',
+    "sign in text": '<row r="2"><c r="A2" t="str"><v>a > b</v></c></row>',
+}
+
+
+@pytest.mark.parametrize("name", ODD)
+@pytest.mark.parametrize("chunk", [50, 1 << 20])
+def test_both_ways_of_reading(monkeypatch, tmp_path, name, chunk):
+    header = '<row r="1"><c r="A1" t="inlineStr"><is><t>a</t></is></c><c r="B1" t="inlineStr"><is><t>b</t></is></c></row>'
+    styles = '<cellXfs><xf numFmtId="0"/><xf numFmtId="22"/></cellXfs>'
+    strings = ["<t>s</t>", "<t>t</t>", "<t></t>"]
+    by_hand(tmp_path / "a.xlsx", {"s": header + ODD[name] + ODD["plain"]}, strings, styles=styles)
+    monkeypatch.setattr(sheet_xml, "CHUNK_BYTES", chunk)
+
+    def rows():
+        book = W.Workbook((tmp_path / "a.xlsx").read_bytes())
+        return [r for piece in book.batches("s", ["b", "a", "q"]) for r in zip(*[c.to_pylist() for c in piece])]
+
+    by_position = rows()
+    monkeypatch.setattr(sheet_xml, "cells_of", lambda chunk: None)
+    assert by_position == rows() and ("2.50", "t", None) in by_position
+
+
+def test_dates_beyond_the_calendar_fail_in_any_column(tmp_path):
+    rows = '<row r="1"><c r="A1"><v>1</v></c></row><row r="2"><c r="A2"><v>1</v></c><c r="B2" s="0"><v>1e9</v></c></row>'
+    by_hand(tmp_path / "a.xlsx", {"s": rows}, styles='<cellXfs><xf numFmtId="14"/></cellXfs>')
+    with pytest.raises(OverflowError):
+        list(W.Workbook((tmp_path / "a.xlsx").read_bytes()).batches("s", ["a"]))
+
+
+def test_numbers_are_written_as_python_writes_them():
+    values = [0.0, -0.0, 1.0, 2.55, 1e-4, 9e-5, 1e9, 123456789012345.6, 1e16, 1e300, 5e-324, float("inf"), None, 4753.369999999999]
+    xml = bytes(sheet_xml.rows_xml(pa.RecordBatch.from_pydict({"x": values}), 1)).decode()
+    cells = ["" if v is None else f'<c r="A{i}"><v>{v!r}</v></c>' for i, v in enumerate(values, 1)]
+    assert xml == "".join(f'<row r="{i}">{c}</row>' for i, c in enumerate(cells, 1))
