@@ -201,3 +201,9 @@ def test_numbers_are_written_as_python_writes_them():
     xml = bytes(sheet_xml.rows_xml(pa.RecordBatch.from_pydict({"x": values}), 1)).decode()
     cells = ["" if v is None else f'<c r="A{i}"><v>{v!r}</v></c>' for i, v in enumerate(values, 1)]
     assert xml == "".join(f'<row r="{i}">{c}</row>' for i, c in enumerate(cells, 1))
+
+
+def test_white_space_is_marked_where_programs_may_change_it():
+    for texts, marked in [(["a b", None, ""], False), (["a", " b"], True), (["a", "b "], True), (["a\nb"], True), ([None], False)]:
+        xml = bytes(sheet_xml.rows_xml(pa.RecordBatch.from_pydict({"x": pa.array(["  ", *texts], pa.string())}).slice(1), 1))
+        assert (b'xml:space="preserve"' in xml) == marked
